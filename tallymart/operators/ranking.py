@@ -3,7 +3,7 @@
 A window without PARTITION BY moves every row to one task. Here a global sort
 spreads the rows over range partitions, each row learns its place inside its
 partition, and a table with one row per partition supplies the offset. The
-sorted rows are checkpointed once, so the places cannot change between the job
+sorted rows are written once, so the places cannot change between the job
 that counts them and the job that uses them.
 
 Small inputs (counted, at most `SMALL_ROWS`) take the plain window instead: one
@@ -51,14 +51,18 @@ def global_index(df: DataFrame, by: list[Column], name: str = "position") -> Dat
     return indexed.drop("_slice", "_total")
 
 
+def _whole_division(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
+
+
 def _tile(index: Column, rows: Column, tiles: int) -> Column:
     """Tile of a 0-based index: the first `rows mod tiles` tiles hold one row more."""
-    size = F.floor(rows / tiles).cast("bigint")
+    size = _whole_division(rows, F.lit(tiles))
     extra = rows % tiles
     front = extra * (size + 1)
     return (
-        F.when(index < front, F.floor(index / (size + 1)) + 1)
-        .otherwise(extra + F.floor((index - front) / F.greatest(size, F.lit(1))) + 1)
+        F.when(index < front, _whole_division(index, size + 1) + 1)
+        .otherwise(extra + _whole_division(index - front, F.greatest(size, F.lit(1))) + 1)
         .cast("int")
     )
 

@@ -73,12 +73,6 @@ FACT_ORDER_ITEMS = _table(
     ("revenue", AMOUNT), ("cost", AMOUNT), ("margin", AMOUNT), ("order_date", DATE),
 )
 
-MONTHLY_REVENUE = _table(
-    ("year", INT), ("month", INT), ("year_month", TEXT), ("orders", LONG), ("units", LONG),
-    ("revenue", T.DecimalType(22, 2)), ("margin", T.DecimalType(22, 2)),
-    ("margin_pct", T.DecimalType(38, 2)),
-)
-
 # name -> (schema, partition column or None)
 TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "landing": (LANDING, "ingested_date"),
@@ -110,8 +104,12 @@ EXPORT_KEYS = {
     "dim_product": ["product_key"],
     "fact_order_items": ["order_id", "product_key"],
 }
-# Clustering of the loaded copy: by day, then by the two join keys.
-LOADED_LAYOUT = {"fact_order_items": ("order_date", ["customer_key", "product_key"])}
+# The loaded copy: the fact by day, clustered by its two join keys.
+TABLES.update({
+    f"loaded_{name}": (schema, "order_date" if name == "fact_order_items" else None)
+    for name, schema in EXPORTS.items()
+})
+LOADED_CLUSTER = {"fact_order_items": ("customer_key", "product_key")}
 
 NEVER_NULL = {
     "customers": [f.name for f in CUSTOMERS],

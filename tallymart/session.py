@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,20 +48,23 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Writes `df` to the checkpoint folder once and returns the written rows.
+    """Writes `df` once as a table under the checkpoint folder and reads it back.
 
     Used where one expensive input feeds several jobs, or where a result that
-    depends on the physical layout must not be computed twice.
+    depends on the physical layout must not be computed twice. Parquet keeps
+    column pruning, cheap counts and a known size for the joins that follow.
     """
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcasts `df` only after counting that it has at most `max_rows` rows.
 
     Counting stops at `max_rows + 1`. Larger inputs come back without a hint and
-    join by shuffle. Pass a frame that is cheap to read twice.
+    join by shuffle. Pass rows that are already written (see `cut_lineage`).
     """
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
