@@ -77,15 +77,16 @@ def record_rejections(
 
 
 def touched_parts(
-    current: DataFrame, changed_keys: DataFrame, keys: list[str], part: str
+    current: DataFrame, changed_keys: DataFrame, keys: list[str], part: Column
 ) -> list:
-    """Partition values of `current` that hold any of the given keys.
+    """The parts of `current` that hold any of the given keys.
 
-    Only the key and partition columns are read; the result has at most one
-    value per day of the table.
+    Only the key and date columns are read; the result has one value per part.
     """
-    hit = current.select(*keys, part).join(changed_keys.select(*keys), keys, "left_semi")
-    return [row[0] for row in hit.select(part).distinct().collect()]
+    hit = current.select(*keys, part.alias("_part")).join(
+        changed_keys.select(*keys), keys, "left_semi"
+    )
+    return [row[0] for row in hit.select("_part").distinct().collect()]
 
 
 def vanished_lines(

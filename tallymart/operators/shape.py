@@ -26,16 +26,17 @@ ORDER_KEYS = [name for name, *_ in TEXT_FIELDS] + ["items"]
 ITEM_KEYS = [name for name, *_ in ITEM_TEXT_FIELDS] + ITEM_NUMBER_FIELDS
 
 
-def json_type(value: Column) -> Column:
-    """JSON type name of a variant; a missing field is 'undefined'."""
-    kind = F.schema_of_variant(value)
+def kind(value: Column) -> Column:
+    """Bare type of a variant: STRING, BIGINT, DECIMAL, OBJECT, ...; null if missing."""
+    schema = F.schema_of_variant(value)
+    return F.substring_index(F.substring_index(schema, "<", 1), "(", 1)
+
+
+def _json_type(kind_name: Column) -> Column:
+    """Name of a bare type in messages."""
     return (
-        F.when(value.isNull(), "undefined")
-        .when(kind == "VOID", "null")
-        .when(kind == "STRING", "string")
-        .when(kind == "BOOLEAN", "boolean")
-        .when(kind.startswith("OBJECT"), "object")
-        .when(kind.startswith("ARRAY"), "array")
+        F.when(kind_name == "VOID", "null")
+        .when(kind_name.isin("STRING", "BOOLEAN", "OBJECT", "ARRAY"), F.lower(kind_name))
         .otherwise("number")
     )
 
@@ -46,91 +47,123 @@ def field(value: Column, name: str) -> Column:
 
 def utf16_length(text: Column) -> Column:
     """Length in UTF-16 units: characters beyond the basic plane count twice."""
-    beyond = F.regexp_replace(text, r"[^\x{10000}-\x{10FFFF}]", "")
-    return F.char_length(text) + F.char_length(beyond)
+    return F.shiftright(F.octet_length(F.encode(text, "UTF-16BE")), 1)
+
 
+# `concat` gives null for a null message, and null messages are dropped, so each
+# error below is written once and evaluated once.
 
-def _type_error(kind: Column, expected: str) -> Column:
-    return F.when(kind == "undefined", F.lit("Required")).when(
-        kind != expected, F.concat(F.lit(f"Expected {expected}, received "), kind)
+
+def _type_error(kind_name: Column, expected: str) -> Column:
+    right = (
+        ~kind_name.isin("VOID", "STRING", "BOOLEAN", "OBJECT", "ARRAY")
+        if expected == "number"
+        else kind_name == expected.upper()
+    )
+    return F.when(kind_name.isNull(), F.lit("Required")).when(
+        ~right, F.concat(F.lit(f"Expected {expected}, received "), _json_type(kind_name))
     )
 
 
 def _at(path: Column, message: Column) -> Column:
-    return F.when(message.isNotNull(), F.concat(path, F.lit(": "), message))
+    return F.concat(path, F.lit(": "), message)
+
+
+def _text_facts(owner: Column, fields: list) -> list[Column]:
+    return [
+        F.struct(
+            kind(field(owner, name)).alias("kind"),
+            utf16_length(trimmed(F.try_variant_get(owner, f"$.{name}", "string"))).alias("size"),
+        ).alias(name)
+        for name, *_ in fields
+    ]
+
 
+def _extra_keys(owner: Column, allowed: list[str]) -> Column:
+    keys = F.map_keys(F.try_variant_get(owner, "$", "map<string,variant>"))
+    return F.array_except(keys, F.array(*[F.lit(k) for k in allowed]))
 
-def _text_errors(owner: Column, path: Column, name: str, least: int, most: int) -> list[Column]:
-    value = field(owner, name)
-    kind = json_type(value)
-    size = utf16_length(trimmed(F.try_variant_get(owner, f"$.{name}", "string")))
-    here = F.concat(path, F.lit(name))
-    is_text = kind == "string"
-    errors = [_at(here, _type_error(kind, "string"))]
+
+def _text_errors(fact: Column, path: Column, least: int, most: int) -> list[Column]:
+    is_text = fact["kind"] == "STRING"
+    errors = [_at(path, _type_error(fact["kind"], "string"))]
     if least:
-        errors.append(_at(here, F.when(
-            is_text & (size < least),
+        errors.append(_at(path, F.when(
+            is_text & (fact["size"] < least),
             F.lit(f"String must contain at least {least} character(s)"))))
-    errors.append(_at(here, F.when(
-        is_text & (size > most), F.lit(f"String must contain at most {most} character(s)"))))
+    errors.append(_at(path, F.when(
+        is_text & (fact["size"] > most),
+        F.lit(f"String must contain at most {most} character(s)"))))
     return errors
 
 
-def _unknown_keys(owner: Column, path: Column, allowed: list[str]) -> Column:
-    keys = F.array_except(
-        F.json_object_keys(F.to_json(owner)), F.array(*[F.lit(k) for k in allowed])
-    )
+def _unknown_keys(keys: Column, path: Column) -> Column:
     quoted = F.array_join(F.transform(keys, lambda k: F.concat(F.lit("'"), k, F.lit("'"))), ", ")
-    return F.when(
-        F.size(keys) > 0,
-        F.concat(path, F.lit(": Unrecognized key(s) in object: "), quoted),
+    message = F.concat(F.lit("Unrecognized key(s) in object: "), quoted)
+    return F.when(F.size(keys) > 0, _at(path, message))
+
+
+def _item_facts(item: Column) -> Column:
+    return F.struct(
+        kind(item).alias("kind"),
+        *_text_facts(item, ITEM_TEXT_FIELDS),
+        *[kind(field(item, name)).alias(name) for name in ITEM_NUMBER_FIELDS],
+        _extra_keys(item, ITEM_KEYS).alias("extra"),
     )
 
 
-def _item_errors(item: Column, position: Column) -> Column:
+def _item_errors(fact: Column, position: Column) -> Column:
     base = F.concat(F.lit("items."), position.cast("string"))
-    path = F.concat(base, F.lit("."))
-    kind = json_type(item)
+    at = lambda name: F.concat(base, F.lit(f".{name}"))
     checks = [
         error
         for name, least, most in ITEM_TEXT_FIELDS
-        for error in _text_errors(item, path, name, least, most)
+        for error in _text_errors(fact[name], at(name), least, most)
     ]
-    for name in ITEM_NUMBER_FIELDS:
-        checks.append(_at(F.concat(path, F.lit(name)),
-                          _type_error(json_type(field(item, name)), "number")))
-    checks.append(_unknown_keys(item, base, ITEM_KEYS))
-    return F.when(kind == "object", F.array_compact(F.array(*checks))).otherwise(
-        F.array(_at(base, _type_error(kind, "object")))
+    checks += [_at(at(name), _type_error(fact[name], "number")) for name in ITEM_NUMBER_FIELDS]
+    checks.append(_unknown_keys(fact["extra"], base))
+    return F.when(fact["kind"] == "OBJECT", F.array_compact(F.array(*checks))).otherwise(
+        F.array(_at(base, _type_error(fact["kind"], "object")))
     )
 
 
-def shape_errors(event: Column) -> Column:
-    """All shape errors of one event (a variant, null for broken JSON) in field order."""
-    top = F.lit("")
-    items = field(event, "items")
-    items_kind = json_type(items)
-    lines = F.try_variant_get(event, "$.items", "array<variant>")
+def judge_shape(events: DataFrame) -> DataFrame:
+    """Adds `errors`, all shape errors of the variant `event` in field order.
+
+    The types and lengths of an event are read once into a helper column; the
+    messages only look at that column.
+    """
+    event = F.col("event")
+    items = F.try_variant_get(event, "$.items", "array<variant>")
+    facts = F.struct(
+        kind(event).alias("kind"),
+        *_text_facts(event, TEXT_FIELDS),
+        kind(field(event, "items")).alias("items"),
+        F.transform(items, _item_facts).alias("lines"),
+        _extra_keys(event, ORDER_KEYS).alias("extra"),
+    )
+    fact = F.col("_facts")
     header = [
         error
         for name, least, most in TEXT_FIELDS
-        for error in _text_errors(event, top, name, least, most)
+        for error in _text_errors(fact[name], F.lit(name), least, most)
     ]
-    header.append(_at(F.lit("items"), _type_error(items_kind, "array")))
+    header.append(_at(F.lit("items"), _type_error(fact["items"], "array")))
     header.append(_at(F.lit("items"), F.when(
-        (items_kind == "array") & (F.size(lines) > MAX_ITEMS),
+        F.size(fact["lines"]) > MAX_ITEMS,
         F.lit(f"Array must contain at most {MAX_ITEMS} element(s)"))))
     found = F.concat(
         F.array_compact(F.array(*header)),
-        F.coalesce(F.flatten(F.transform(lines, _item_errors)), F.array().cast("array<string>")),
-        F.array_compact(F.array(_unknown_keys(event, F.lit("order"), ORDER_KEYS))),
+        F.coalesce(F.flatten(F.transform(fact["lines"], _item_errors)),
+                   F.array().cast("array<string>")),
+        F.array_compact(F.array(_unknown_keys(fact["extra"], F.lit("order")))),
     )
-    kind = json_type(event)
-    return (
+    errors = (
         F.when(event.isNull(), F.array(F.lit("Body is not valid JSON")))
-        .when(kind == "object", found)
-        .otherwise(F.array(_at(F.lit("order"), _type_error(kind, "object"))))
+        .when(fact["kind"] == "OBJECT", found)
+        .otherwise(F.array(_at(F.lit("order"), _type_error(fact["kind"], "object"))))
     )
+    return events.withColumn("_facts", facts).withColumn("errors", errors).drop("_facts")
 
 
 def parse_events(lines: DataFrame, text: str = "value") -> DataFrame:
@@ -163,7 +196,7 @@ def check_shape(events: DataFrame, position: str = "position") -> tuple[DataFram
     `accepted` keeps `position` and gains `order_id` and the stored `doc`;
     `refused` holds `index` (the position) and `errors`.
     """
-    judged = events.withColumn("errors", shape_errors(F.col("event")))
+    judged = judge_shape(events)
     accepted = judged.filter(F.size("errors") == 0).select(
         position,
         trimmed(F.try_variant_get("event", "$.order_id", "string")).alias("order_id"),

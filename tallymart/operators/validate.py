@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import values as v
-from tallymart.operators.shape import json_type
+from tallymart.functions.values import trimmed
+from tallymart.operators.shape import field, kind
 from tallymart.session import broadcast_if_small, cut_lineage
 
 NO_ID = "?"
@@ -82,33 +83,38 @@ def _record_id(key: str) -> Column:
 
 def _text_of(owner: Column, name: str) -> Column:
     """Trimmed text of a field; anything that is not text counts as empty."""
-    value = F.try_variant_get(owner, f"$.{name}", "variant")
     text = F.try_variant_get(owner, f"$.{name}", "string")
-    return F.when(F.schema_of_variant(value) == "STRING", v.text_or_empty(text)).otherwise("")
+    return F.when(kind(field(owner, name)) == "STRING", v.text_or_empty(text)).otherwise("")
 
 
-def _amount_of(owner: Column, name: str) -> Column:
-    value = F.try_variant_get(owner, f"$.{name}", "variant")
-    text = v.text_or_empty(F.try_variant_get(owner, f"$.{name}", "string"))
-    return F.when(~F.schema_of_variant(value).isin("BOOLEAN", "VOID"), v.money(text))
-
+def _raw_item(item: Column, position: Column) -> Column:
+    """What an item says, untyped; read once per item."""
+    return F.struct(
+        (position + 1).alias("position"),
+        (kind(item) == "OBJECT").alias("is_object"),
+        _text_of(item, "product_id").alias("product_id"),
+        kind(field(item, "quantity")).alias("quantity_kind"),
+        F.try_variant_get(item, "$.quantity", "decimal(38,10)").alias("quantity"),
+        kind(field(item, "unit_price")).alias("price_kind"),
+        trimmed(F.try_variant_get(item, "$.unit_price", "string")).alias("price"),
+    )
 
-def _quantity_of(owner: Column, name: str) -> Column:
-    """A whole JSON number from 1 to the largest int, else null; text is refused."""
-    kind = F.schema_of_variant(F.try_variant_get(owner, f"$.{name}", "variant"))
-    number = F.try_variant_get(owner, f"$.{name}", "decimal(38,10)")
-    numeric = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-    whole = (number == F.floor(number)) & (number > 0) & (number <= v.MAX_INT)
-    return F.when(numeric & whole, number.cast("int"))
 
+def _typed_item(raw: Column) -> Column:
+    """Amounts and whole quantities; null where the value is refused.
 
-def _read_item(item: Column, position: Column) -> Column:
+    A quantity must be a JSON number without a fraction; text is refused.
+    """
+    number = raw["quantity"]
+    whole = (number == F.floor(number)) & (number > 0) & (number <= v.MAX_INT)
+    numeric = raw["quantity_kind"].isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
     return F.struct(
-        (position + 1).alias("position"),
-        (json_type(item) == "object").alias("is_object"),
-        F.when(json_type(item) == "object", _text_of(item, "product_id")).alias("product_id"),
-        _quantity_of(item, "quantity").alias("quantity"),
-        _amount_of(item, "unit_price").alias("unit_price"),
+        raw["position"].alias("position"),
+        raw["is_object"].alias("is_object"),
+        F.when(raw["is_object"], raw["product_id"]).alias("product_id"),
+        F.when(numeric & whole, number.cast("int")).alias("quantity"),
+        F.when(~raw["price_kind"].isin("BOOLEAN", "VOID"), v.money(raw["price"]))
+        .alias("unit_price"),
     )
 
 
@@ -122,11 +128,11 @@ def read_orders(docs: DataFrame, event: str = "event") -> DataFrame:
             "customer_id": _text_of(doc, "customer_id"),
             "status": F.lower(_text_of(doc, "status")),
             "channel": F.lower(_text_of(doc, "channel")),
-            "ordered_at": v.moment(_text_of(doc, "ordered_at")),
-            "lines": F.transform(items, _read_item),
+            "_ordered_at": _text_of(doc, "ordered_at"),
+            "lines": F.transform(F.transform(items, _raw_item), _typed_item),
             "payload": F.to_json(doc),
         }
-    )
+    ).withColumn("ordered_at", v.moment(F.col("_ordered_at"))).drop("_ordered_at")
 
 
 def unknown_ids(mentioned: DataFrame, known: DataFrame, key: str) -> DataFrame:
@@ -205,7 +211,7 @@ def order_reasons(now) -> Column:
         ),
     )
     per_line = F.flatten(
-        F.transform(lines, lambda line: _line_reasons(line, lines["product_id"], unknown))
+        F.transform(lines, lambda line: _line_reasons(line, F.col("_ids"), unknown))
     )
     return F.concat(header, F.coalesce(per_line, F.array().cast("array<string>")))
 
@@ -217,13 +223,15 @@ def validate_order(
 
     One bad line refuses the whole order. `now` is an ISO text or a datetime, the
     same for all records of a run. Documents are matched by a digest of their
-    content, so equal copies simply share the answer.
+    content, so equal copies simply share the answer. The parsed orders are written
+    once: three small lookups and the final verdict read them.
     """
-    orders = read_orders(docs, event).withColumn("doc_id", F.sha2("payload", 256))
-    marked = _mark_unknown(orders, customers, products)
+    parsed = read_orders(docs, event).withColumn("doc_id", F.sha2("payload", 256))
+    orders = cut_lineage(parsed.drop(event))
+    marked = _mark_unknown(orders, customers, products).withColumn("_ids", F.col("lines.product_id"))
     return marked.withColumns(
         {"reasons": order_reasons(now), "record_id": _record_id("order_id")}
-    ).drop("doc_id", "customer_unknown", "unknown_products")
+    ).drop("doc_id", "customer_unknown", "unknown_products", "_ids")
 
 
 # ------------------------------------------------------------------- routing

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -53,39 +54,41 @@ def _lit(moment: datetime) -> F.Column:
     return F.lit(moment.isoformat()).cast("timestamp")
 
 
-def _days(*lists: list[date]) -> list[date]:
-    return sorted({day for days in lists for day in days})
+def _union(*lists: list[date]) -> list[date]:
+    return sorted({part for parts in lists for part in parts})
 
 
-def _distinct_days(rows: DataFrame, column: str) -> list[date]:
-    """At most one value per calendar day."""
-    return [row[0] for row in rows.select(column).distinct().collect()]
-
-
-def _within(table: DataFrame, column: str, days: list[date]) -> DataFrame:
-    return table.filter(F.col(column).isin(days)) if days else table.limit(0)
+def _parts_of(rows: DataFrame, part: F.Column) -> list[date]:
+    """One value per part of the table the rows go to."""
+    return [row[0] for row in rows.select(part.alias("_part")).distinct().collect()]
 
 
 def _rejection_change(
-    current: DataFrame, batches: list[tuple[str, DataFrame, DataFrame]], now: datetime
+    snap: Snapshot, batches: list[tuple[str, DataFrame, DataFrame]], now: datetime
 ) -> Rewrite:
-    """New rejections table, limited to the days that hold a cleared or replaced record.
+    """New rejections table, limited to the parts that hold a cleared or replaced record.
 
     `batches`: (source, accepted record ids, newest rejections).
     """
-    changed = None
-    for source, accepted, refused in batches:
-        ids = accepted.select("record_id").union(refused.select("record_id"))
-        keyed = ids.select(F.lit(source).alias("source"), "record_id")
-        changed = keyed if changed is None else changed.unionByName(keyed)
-    today = now.astimezone(timezone.utc).date() if now.tzinfo else now.date()
-    days = _days(
-        touched_parts(current, changed, ["source", "record_id"], "rejected_date"), [today]
+    name = "rejected_records"
+    keyed = reduce(
+        DataFrame.unionByName,
+        [
+            accepted.select("record_id")
+            .union(refused.select("record_id"))
+            .select(F.lit(source).alias("source"), "record_id")
+            for source, accepted, refused in batches
+        ],
     )
-    rows = _within(current, "rejected_date", days)
+    today = snap.spark.range(1).select(F.to_date(_lit(now)).alias("rejected_date"))
+    parts = _union(
+        touched_parts(snap.table(name), keyed, ["source", "record_id"], snap.part(name)),
+        _parts_of(today, snap.part(name)),
+    )
+    rows = snap.table(name, parts)
     for source, accepted, refused in batches:
         rows = record_rejections(rows, source, accepted, refused, _lit(now))
-    return Rewrite(rows, parts=days)
+    return Rewrite(rows, parts)
 
 
 # ---------------------------------------------------------------- reference
@@ -112,9 +115,7 @@ def load_reference(store: Store, config: Config) -> dict[str, int]:
         batches.append((name, newest.select(F.col(key).alias("record_id")), cut_lineage(refused)))
         counts[name] = newest.count()
         counts["rejected"] += rejected.count()
-    changes["rejected_records"] = _rejection_change(
-        snap.table("rejected_records"), batches, now
-    )
+    changes["rejected_records"] = _rejection_change(snap, batches, now)
     store.publish(snap, changes)
     return counts
 
@@ -129,14 +130,13 @@ def ingest(
     snap = store.snapshot()
     accepted, refused = check_shape(events)
     batch = cut_lineage(lz.newest_of_batch(accepted, _lit(ingested_at)))
-    landed = snap.table("landing")
-    days = _days(
-        touched_parts(landed, batch, ["order_id"], "ingested_date"),
-        _distinct_days(batch, "ingested_date"),
+    part = snap.part("landing")
+    parts = _union(
+        touched_parts(snap.table("landing"), batch, ["order_id"], part), _parts_of(batch, part)
     )
-    # The touched days hold every earlier version of the batch's orders.
-    rows = lz.land(_within(landed, "ingested_date", days), batch)
-    changes = {"landing": Rewrite(rows, parts=days)} if days else {}
+    # The touched parts hold every earlier version of the batch's orders.
+    rows = lz.land(snap.table("landing", parts), batch)
+    changes = {"landing": Rewrite(rows, parts)} if parts else {}
     store.publish(snap, changes, meta)
     return batch.count(), refused
 
@@ -160,7 +160,7 @@ def load_orders(
     judged = cut_lineage(
         validate_order(
             fresh, snap.table("customers"), snap.table("products"), _lit(now)
-        ).drop("event", "doc", "first_seen_at", "ingested_date")
+        ).drop("doc", "first_seen_at", "ingested_date")
     )
     valid, rejected = split(judged)
     totals = judged.agg(
@@ -176,9 +176,9 @@ def load_orders(
             {"loaded_at": _lit(now), "order_date": F.to_date("ordered_at")}
         )
     )
-    days = _days(
-        touched_parts(snap.table("orders"), newest, ["order_id"], "order_date"),
-        _distinct_days(newest, "order_date"),
+    part = snap.part("orders")
+    parts = _union(
+        touched_parts(snap.table("orders"), newest, ["order_id"], part), _parts_of(newest, part)
     )
     refused = newest_rejections(
         rejections(rejected, "orders", ["ingested_at"]), ["ingested_at"]
@@ -189,22 +189,23 @@ def load_orders(
     )
     changes = {
         "rejected_records": _rejection_change(
-            snap.table("rejected_records"), [("orders", accepted, cut_lineage(refused))], now
+            snap, [("orders", accepted, cut_lineage(refused))], now
         ),
         "watermarks": Rewrite(upsert(snap.table("watermarks"), mark, ["source"])),
     }
-    if days:
+    if parts:
+        # An order and its lines share their date, hence their part.
         changes["orders"] = Rewrite(
-            upsert(_within(snap.table("orders"), "order_date", days), newest, ["order_id"]), days
+            upsert(snap.table("orders", parts), newest, ["order_id"]), parts
         )
         changes["order_items"] = Rewrite(
             replace_children(
-                _within(snap.table("order_items"), "order_date", days),
+                snap.table("order_items", parts),
                 newest,
                 order_lines(newest, ["order_date"]),
                 "order_id",
             ),
-            days,
+            parts,
         )
     store.publish(snap, changes)
     read, loaded = totals["read"], totals["loaded"]

@@ -1,24 +1,29 @@
 """Tables that change together.
 
 A run writes new Parquet folders and then publishes one small manifest that names
-the folder of every table (and of every day, for tables laid out by day). Readers
+the folder of every table (and of every part, for tables laid out by date). Readers
 resolve a manifest once, so all their tables come from one instant; a run that
 fails before publishing changes nothing; a run that started from an older manifest
-is refused. Partitions that a run did not touch keep their old folder.
+is refused. Parts that a run did not touch keep their old folder.
+
+A part is a month by default. Use `grain="day"` where a month of data is more than
+a run should rewrite.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Collection
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.plans.star import Star
-from tallymart.schemas import TABLES
+from tallymart.schemas import DAILY, TABLES
 
 
 class StaleSnapshot(RuntimeError):
@@ -27,7 +32,7 @@ class StaleSnapshot(RuntimeError):
 
 @dataclass(frozen=True)
 class Rewrite:
-    """New content of a table; with `parts`, only of those partitions.
+    """New content of a table; with `parts`, only of those parts.
 
     `cluster` sorts the rows of each file, so that readers can skip row groups.
     """
@@ -37,6 +42,11 @@ class Rewrite:
     cluster: tuple[str, ...] = ()
 
 
+def part_of(column: str, grain: str) -> Column:
+    """The part a date belongs to."""
+    return F.col(column) if grain == "day" else F.trunc(column, grain)
+
+
 @dataclass(frozen=True)
 class Snapshot:
     spark: SparkSession
@@ -44,24 +54,38 @@ class Snapshot:
     version: int
     tables: dict[str, dict]
     meta: dict = field(default_factory=dict)
+    grain: str = "month"
+    _frames: dict = field(default_factory=dict, repr=False, compare=False)
 
     def parts(self, name: str) -> dict[str, str]:
-        """Partition value (text) -> folder; unpartitioned tables use ''."""
+        """Part (text) -> folder; tables without parts use ''."""
         return self.tables.get(name, {}).get("parts", {})
 
+    def part(self, name: str) -> Column:
+        """The part a row of the table belongs to."""
+        return part_of(TABLES[name][1], "day" if name in DAILY else self.grain)
+
     def __contains__(self, name: str) -> bool:
         return name in self.tables
 
-    def table(self, name: str) -> DataFrame:
-        schema, partition = TABLES.get(name, (None, None))
+    def table(self, name: str, parts: Collection[date] | None = None) -> DataFrame:
+        """A table, or only some of its parts; other parts are not even listed."""
+        if parts is None:
+            if name not in self._frames:
+                self._frames[name] = self._read(name, self.parts(name))
+            return self._frames[name]
+        wanted = {str(p) for p in parts}
+        return self._read(name, {k: v for k, v in self.parts(name).items() if k in wanted})
+
+    def _read(self, name: str, parts: dict[str, str]) -> DataFrame:
+        schema = TABLES[name][0] if name in TABLES else None
         if schema is None:
             schema = T.StructType.fromJson(self.tables[name]["schema"])
-        parts = self.parts(name)
         if not parts:
             return self.spark.createDataFrame([], schema)
         root = f"{self.base}/data/{name}"
         paths = [
-            f"{root}/{folder}" + (f"/{partition}={value}" if value else "")
+            f"{root}/{folder}" + (f"/part={value}" if value else "")
             for value, folder in sorted(parts.items())
         ]
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
@@ -77,10 +101,12 @@ class Snapshot:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, base: str):
+    def __init__(self, spark: SparkSession, base: str, grain: str = "month"):
         if not base:
             raise ValueError("a target path must be set")
-        self.spark, self.base = spark, base.rstrip("/")
+        if grain not in ("day", "month", "year"):
+            raise ValueError("grain is day, month or year")
+        self.spark, self.base, self.grain = spark, base.rstrip("/"), grain
         jvm = spark._jvm
         self._fs_types = jvm.org.apache.hadoop.fs
         self._conf = spark._jsc.hadoopConfiguration()
@@ -98,12 +124,15 @@ class Store:
     def snapshot(self) -> Snapshot:
         published = [n for n in self._names(f"{self.base}/manifests") if n.endswith(".json")]
         if not published:
-            return Snapshot(self.spark, self.base, 0, {})
+            return Snapshot(self.spark, self.base, 0, {}, {}, self.grain)
         newest = max(published)
         text = self.spark.read.text(f"{self.base}/manifests/{newest}", wholetext=True).first()[0]
         manifest = json.loads(text)
+        grain = manifest["meta"]["grain"]
+        if grain != self.grain:
+            raise ValueError(f"these tables are laid out by {grain}")
         return Snapshot(
-            self.spark, self.base, manifest["version"], manifest["tables"], manifest["meta"]
+            self.spark, self.base, manifest["version"], manifest["tables"], manifest["meta"], grain
         )
 
     def init(self) -> Snapshot:
@@ -124,23 +153,23 @@ class Store:
         return self._publish(base, tables, meta or {})
 
     def _write(self, base: Snapshot, name: str, change: Rewrite) -> dict:
-        schema, partition = TABLES.get(name, (None, None))
+        schema, dated = TABLES.get(name, (None, None))
         rows = change.rows
         if schema is not None:
             rows = rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema])
         folder = f"v={base.version + 1:08d}-{uuid.uuid4().hex[:8]}"
         path = f"{self.base}/data/{name}/{folder}"
         entry = {"schema": json.loads(rows.schema.json())}
-        if partition is None:
+        if dated is None:
             rows.write.parquet(path)
             return {**entry, "parts": {"": folder}}
-        # One day may hold a third of all rows. The rebalance hint gathers the rows
-        # of a day for few files, and AQE splits days that are too big for a task.
-        spread = rows.hint("rebalance", partition)
+        # One part may hold a third of all rows. The rebalance hint gathers the rows
+        # of a part for few files, and AQE splits parts that are too big for a task.
+        spread = rows.withColumn("part", base.part(name)).hint("rebalance", "part")
         if change.cluster:
-            spread = spread.sortWithinPartitions(partition, *change.cluster)
-        spread.write.partitionBy(partition).parquet(path)
-        written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith(f"{partition}=")]
+            spread = spread.sortWithinPartitions("part", *change.cluster)
+        spread.write.partitionBy("part").parquet(path)
+        written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith("part=")]
         kept = {} if change.parts is None else dict(base.parts(name))
         for value in change.parts or []:
             kept.pop(str(value), None)
@@ -148,7 +177,7 @@ class Store:
 
     def _publish(self, base: Snapshot, tables: dict, meta: dict) -> Snapshot:
         version = base.version + 1
-        merged = {**base.meta, **meta}
+        merged = {**base.meta, **meta, "grain": self.grain}
         text = json.dumps({"version": version, "tables": tables, "meta": merged})
         folder = f"{self.base}/manifests"
         draft = self._path(f"{folder}/.{uuid.uuid4().hex}.draft")
@@ -167,4 +196,4 @@ class Store:
             if "FileAlreadyExists" in str(error):
                 raise StaleSnapshot(f"version {version} is already published") from error
             raise
-        return Snapshot(self.spark, self.base, version, tables, merged)
+        return Snapshot(self.spark, self.base, version, tables, merged, self.grain)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import values as v
@@ -47,12 +47,9 @@ def fact_rows(
     )
 
 
-def dim_date(spark: SparkSession, days: list[date], current: DataFrame) -> DataFrame:
+def dim_date(orders: DataFrame, current: DataFrame) -> DataFrame:
     """The calendar never shrinks and old days never change."""
-    if not days:
-        return current
-    bounds = spark.createDataFrame([(min(days),), (max(days),)], "order_date date")
-    return insert_missing(current, calendar(bounds, "order_date"), ["date_key"])
+    return insert_missing(current, calendar(orders, "order_date"), ["date_key"])
 
 
 def dim_customer(staging: DataFrame, current: DataFrame) -> DataFrame:
@@ -63,34 +60,33 @@ def dim_product(staging: DataFrame, current: DataFrame) -> DataFrame:
     return assign_keys(current, staging, "product_id", "product_key")
 
 
-def _inputs(snap: Snapshot, day: str) -> list[str | None]:
-    return [snap.parts(t).get(day) for t in ("orders", "order_items")]
+def _inputs(snap: Snapshot, part: str) -> list[str | None]:
+    return [snap.parts(t).get(part) for t in ("orders", "order_items")]
 
 
-def _stale_days(snap: Snapshot, costs_changed: DataFrame) -> list[str]:
-    """Days whose fact no longer follows from the staged folders it was built from.
+def _stale_parts(snap: Snapshot, costs_changed: DataFrame) -> list[str]:
+    """Parts whose fact no longer follows from the staged folders it was built from.
 
-    A day is stale if its orders or lines were rewritten, if someone else wrote
+    A part is stale if its orders or lines were rewritten, if someone else wrote
     its fact, or if it holds a product whose cost changed.
     """
     built = snap.meta.get("fact_inputs", {})
     fact = snap.parts("fact_order_items")
-    days = {*snap.parts("orders"), *snap.parts("order_items"), *fact}
-    stale = {d for d in days if built.get(d) != [*_inputs(snap, d), fact.get(d)]}
+    known = {*snap.parts("orders"), *snap.parts("order_items"), *fact}
+    stale = {p for p in known if built.get(p) != [*_inputs(snap, p), fact.get(p)]}
     held = touched_parts(
-        snap.table("fact_order_items"), costs_changed, ["product_key"], "order_date"
+        snap.table("fact_order_items"), costs_changed, ["product_key"],
+        snap.part("fact_order_items"),
     )
-    return sorted(stale | {str(d) for d in held})
+    return sorted(stale | {str(p) for p in held})
 
 
 def build_warehouse(store: Store, full: bool = False) -> dict[str, int]:
-    """Brings the star in line with staging; rewrites only the days that changed.
+    """Brings the star in line with staging; rewrites only the parts that changed.
 
-    `full` rebuilds every day from scratch, with the same result.
+    `full` rebuilds every part from scratch, with the same result.
     """
     snap = store.snapshot()
-    spark = store.spark
-    days = [date.fromisoformat(d) for d in snap.parts("orders")]
     customers = cut_lineage(dim_customer(snap.table("customers"), snap.table("dim_customer")))
     products = cut_lineage(dim_product(snap.table("products"), snap.table("dim_product")))
     old_costs = snap.table("dim_product").select("product_key", F.col("unit_cost").alias("old"))
@@ -100,25 +96,22 @@ def build_warehouse(store: Store, full: bool = False) -> dict[str, int]:
     if full:
         stale = sorted({*snap.parts("orders"), *snap.parts("fact_order_items")})
     else:
-        stale = _stale_days(snap, costs_changed)
+        stale = _stale_parts(snap, costs_changed)
     changes = {
-        "dim_date": Rewrite(dim_date(spark, days, snap.table("dim_date"))),
         "dim_customer": Rewrite(customers),
         "dim_product": Rewrite(products),
     }
     if stale:
-        in_days = F.col("order_date").isin([date.fromisoformat(d) for d in stale])
+        lines, orders = (snap.table(t, stale) for t in ("order_items", "orders"))
+        # The first and the last order lie in the first and the last part.
+        ends = [min(snap.parts("orders")), max(snap.parts("orders"))] if snap.parts("orders") else []
+        changes["dim_date"] = Rewrite(dim_date(snap.table("orders", ends), snap.table("dim_date")))
         changes["fact_order_items"] = Rewrite(
-            fact_rows(
-                snap.table("order_items").filter(in_days),
-                snap.table("orders").filter(in_days),
-                products,
-                customers,
-            ),
-            parts=[date.fromisoformat(d) for d in stale],
+            fact_rows(lines, orders, products, customers),
+            [date.fromisoformat(p) for p in stale],
         )
     after = store.publish(snap, changes)
     fact = after.parts("fact_order_items")
-    record = {d: [*_inputs(after, d), fact.get(d)] for d in {*after.parts("orders"), *fact}}
+    record = {p: [*_inputs(after, p), fact.get(p)] for p in {*after.parts("orders"), *fact}}
     after = store.publish(after, {}, {"fact_inputs": record})
-    return {"fact_rows": after.table("fact_order_items").count(), "days_rebuilt": len(stale)}
+    return {"fact_rows": after.table("fact_order_items").count(), "parts_rebuilt": len(stale)}

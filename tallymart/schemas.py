@@ -44,8 +44,8 @@ PRODUCTS = _table(
     ("product_id", TEXT), ("name", TEXT), ("category", TEXT), ("unit_cost", MONEY),
     ("list_price", MONEY), ("loaded_at", MOMENT),
 )
-# order_date is the UTC day of ordered_at; it lays the files out by day so that a
-# load rewrites only the days it touches.
+# order_date is the UTC day of ordered_at; it lays the files out so that a load
+# rewrites only the parts it touches.
 ORDERS = _table(
     ("order_id", TEXT), ("customer_id", TEXT), ("status", TEXT), ("channel", TEXT),
     ("ordered_at", MOMENT), ("loaded_at", MOMENT), ("order_date", DATE),
@@ -73,7 +73,7 @@ FACT_ORDER_ITEMS = _table(
     ("revenue", AMOUNT), ("cost", AMOUNT), ("margin", AMOUNT), ("order_date", DATE),
 )
 
-# name -> (schema, partition column or None)
+# name -> (schema, the date column that lays out the files, or None)
 TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "landing": (LANDING, "ingested_date"),
     "watermarks": (WATERMARKS, None),
@@ -110,6 +110,7 @@ TABLES.update({
     for name, schema in EXPORTS.items()
 })
 LOADED_CLUSTER = {"fact_order_items": ("customer_key", "product_key")}
+DAILY = {"loaded_fact_order_items"}
 
 NEVER_NULL = {
     "customers": [f.name for f in CUSTOMERS],
