@@ -17,10 +17,19 @@ EMAIL_PATTERN = r"(?U)^[^\s@]+@[^\s@]+\.[^\s@]+$"
 
 MAX_INT = 2_147_483_647
 
+# The white space of Unicode, and what the two sides of the
+# contract add to it (separators in the loader, the byte order mark at the door).
+UNICODE_SPACE = (
+    "\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+LOADER_SPACE = UNICODE_SPACE + "\x1c\x1d\x1e\x1f\x85"
+DOOR_SPACE = UNICODE_SPACE + "\ufeff"
 
-def trimmed(text: Column) -> Column:
-    """Unicode-aware strip of both ends."""
-    return F.regexp_replace(text, r"(?U)^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$", "")
+
+def trimmed(text: Column, space: str = LOADER_SPACE) -> Column:
+    """Strips white space from both ends; looks at the ends only."""
+    return F.trim(text, F.lit(space))
 
 
 def text_or_empty(text: Column) -> Column:
@@ -96,7 +105,10 @@ def moment(text: Column) -> Column:
     instant = F.when(F.length(text) == 10, F.concat(day, F.lit("T00:00:00Z"))).otherwise(
         F.concat(day, F.lit("T"), full_clock, F.lit("."), micros, colon_zone)
     )
-    return F.when(text.rlike(shape), instant.try_cast("timestamp"))
+    usual = text.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(Z|[+-]\d{2}:\d{2})$")
+    return F.when(usual, text.try_cast("timestamp")).when(
+        text.rlike(shape), instant.try_cast("timestamp")
+    )
 
 
 def known_word_reason(value: Column, words: list[str], label: str) -> Column:

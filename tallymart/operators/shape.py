@@ -6,10 +6,13 @@ values (an unknown customer, a negative quantity) pass and are reported later.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.values import trimmed
+from tallymart.functions import values as v
+from tallymart.operators.once import with_columns_once
 
 # Fixed values of the contract: (field, shortest, longest).
 TEXT_FIELDS = [
@@ -26,6 +29,10 @@ ORDER_KEYS = [name for name, *_ in TEXT_FIELDS] + ["items"]
 ITEM_KEYS = [name for name, *_ in ITEM_TEXT_FIELDS] + ITEM_NUMBER_FIELDS
 
 
+def trimmed(text: Column) -> Column:
+    return v.trimmed(text, v.DOOR_SPACE)
+
+
 def kind(value: Column) -> Column:
     """Bare type of a variant: STRING, BIGINT, DECIMAL, OBJECT, ...; null if missing."""
     schema = F.schema_of_variant(value)
@@ -54,12 +61,14 @@ def utf16_length(text: Column) -> Column:
 # error below is written once and evaluated once.
 
 
+def _is(kind_name: Column, expected: str) -> Column:
+    if expected == "number":
+        return ~kind_name.isin("VOID", "STRING", "BOOLEAN", "OBJECT", "ARRAY")
+    return kind_name == expected.upper()
+
+
 def _type_error(kind_name: Column, expected: str) -> Column:
-    right = (
-        ~kind_name.isin("VOID", "STRING", "BOOLEAN", "OBJECT", "ARRAY")
-        if expected == "number"
-        else kind_name == expected.upper()
-    )
+    right = _is(kind_name, expected)
     return F.when(kind_name.isNull(), F.lit("Required")).when(
         ~right, F.concat(F.lit(f"Expected {expected}, received "), _json_type(kind_name))
     )
@@ -112,6 +121,27 @@ def _item_facts(item: Column) -> Column:
     )
 
 
+NO_ERRORS = "array<string>"
+
+
+def _good_texts(fact: Column, fields: list) -> Column:
+    return reduce(
+        lambda a, b: a & b,
+        [(fact[n]["kind"] == "STRING") & fact[n]["size"].between(least, most)
+         for n, least, most in fields],
+    )
+
+
+def _good_item(fact: Column) -> Column:
+    """Most items are well formed; one cheap test spares them the messages."""
+    numbers = [_is(fact[name], "number") for name in ITEM_NUMBER_FIELDS]
+    return reduce(
+        lambda a, b: a & b,
+        [fact["kind"] == "OBJECT", _good_texts(fact, ITEM_TEXT_FIELDS), *numbers,
+         F.size(fact["extra"]) == 0],
+    )
+
+
 def _item_errors(fact: Column, position: Column) -> Column:
     base = F.concat(F.lit("items."), position.cast("string"))
     at = lambda name: F.concat(base, F.lit(f".{name}"))
@@ -122,8 +152,10 @@ def _item_errors(fact: Column, position: Column) -> Column:
     ]
     checks += [_at(at(name), _type_error(fact[name], "number")) for name in ITEM_NUMBER_FIELDS]
     checks.append(_unknown_keys(fact["extra"], base))
-    return F.when(fact["kind"] == "OBJECT", F.array_compact(F.array(*checks))).otherwise(
-        F.array(_at(base, _type_error(fact["kind"], "object")))
+    return (
+        F.when(_good_item(fact), F.array().cast(NO_ERRORS))
+        .when(fact["kind"] == "OBJECT", F.array_compact(F.array(*checks)))
+        .otherwise(F.array(_at(base, _type_error(fact["kind"], "object"))))
     )
 
 
@@ -152,10 +184,17 @@ def judge_shape(events: DataFrame) -> DataFrame:
     header.append(_at(F.lit("items"), F.when(
         F.size(fact["lines"]) > MAX_ITEMS,
         F.lit(f"Array must contain at most {MAX_ITEMS} element(s)"))))
+    good_header = (
+        _good_texts(fact, TEXT_FIELDS)
+        & (fact["items"] == "ARRAY")
+        & (F.size(fact["lines"]) <= MAX_ITEMS)
+    )
     found = F.concat(
-        F.array_compact(F.array(*header)),
+        F.when(good_header, F.array().cast(NO_ERRORS)).otherwise(
+            F.array_compact(F.array(*header))
+        ),
         F.coalesce(F.flatten(F.transform(fact["lines"], _item_errors)),
-                   F.array().cast("array<string>")),
+                   F.array().cast(NO_ERRORS)),
         F.array_compact(F.array(_unknown_keys(fact["extra"], F.lit("order")))),
     )
     errors = (
@@ -163,12 +202,13 @@ def judge_shape(events: DataFrame) -> DataFrame:
         .when(fact["kind"] == "OBJECT", found)
         .otherwise(F.array(_at(F.lit("order"), _type_error(fact["kind"], "object"))))
     )
-    return events.withColumn("_facts", facts).withColumn("errors", errors).drop("_facts")
+    read_once = with_columns_once(events, {"_facts": facts})
+    return with_columns_once(read_once, {"errors": errors}).drop("_facts")
 
 
 def parse_events(lines: DataFrame, text: str = "value") -> DataFrame:
     """Adds the variant column `event`; broken JSON gives null."""
-    return lines.withColumn("event", F.try_parse_json(text))
+    return with_columns_once(lines, {"event": F.try_parse_json(text)})
 
 
 def trimmed_document(event: Column) -> Column:

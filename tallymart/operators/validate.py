@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions import values as v
 from tallymart.functions.values import trimmed
+from tallymart.operators.once import with_columns_once
 from tallymart.operators.shape import field, kind
 from tallymart.session import broadcast_if_small, cut_lineage
 
@@ -229,8 +230,8 @@ def validate_order(
     parsed = read_orders(docs, event).withColumn("doc_id", F.sha2("payload", 256))
     orders = cut_lineage(parsed.drop(event))
     marked = _mark_unknown(orders, customers, products).withColumn("_ids", F.col("lines.product_id"))
-    return marked.withColumns(
-        {"reasons": order_reasons(now), "record_id": _record_id("order_id")}
+    return with_columns_once(
+        marked, {"reasons": order_reasons(now), "record_id": _record_id("order_id")}
     ).drop("doc_id", "customer_unknown", "unknown_products", "_ids")
 
 

@@ -112,7 +112,7 @@ def load_reference(store: Store, config: Config) -> dict[str, int]:
         refused = newest_rejections(rejections(rejected, name, ["_order"]), ["_order"]).drop(
             "_order"
         )
-        batches.append((name, newest.select(F.col(key).alias("record_id")), cut_lineage(refused)))
+        batches.append((name, newest.select(F.col(key).alias("record_id")), refused))
         counts[name] = newest.count()
         counts["rejected"] += rejected.count()
     changes["rejected_records"] = _rejection_change(snap, batches, now)
@@ -189,7 +189,7 @@ def load_orders(
     )
     changes = {
         "rejected_records": _rejection_change(
-            snap, [("orders", accepted, cut_lineage(refused))], now
+            snap, [("orders", accepted, refused)], now
         ),
         "watermarks": Rewrite(upsert(snap.table("watermarks"), mark, ["source"])),
     }

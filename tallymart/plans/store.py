@@ -165,9 +165,15 @@ class Store:
             return {**entry, "parts": {"": folder}}
         # One part may hold a third of all rows. The rebalance hint gathers the rows
         # of a part for few files, and AQE splits parts that are too big for a task.
-        spread = rows.withColumn("part", base.part(name)).hint("rebalance", "part")
+        # Clustered tables are split by range over part and keys, so a big part is
+        # spread by its keys.
+        rows = rows.withColumn("part", base.part(name))
         if change.cluster:
-            spread = spread.sortWithinPartitions("part", *change.cluster)
+            order = ["part", *change.cluster]
+            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            spread = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+        else:
+            spread = rows.hint("rebalance", "part")
         spread.write.partitionBy("part").parquet(path)
         written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith("part=")]
         kept = {} if change.parts is None else dict(base.parts(name))
