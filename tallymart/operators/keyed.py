@@ -40,12 +40,9 @@ def assign_keys(dim: DataFrame, updates: DataFrame, business_key: str, key: str)
     """
     attributes = [c for c in dim.columns if c != key]
     fresh = updates.join(dim.select(business_key), business_key, "left_anti")
-    highest = dim.agg(F.coalesce(F.max(key), F.lit(0)).alias("_highest"))
-    numbered = (
-        global_index(fresh.select(*attributes), [F.asc(business_key)], "_index")
-        .crossJoin(F.broadcast(highest))  # one row
-        .withColumn(key, F.col("_highest") + F.col("_index") + 1)
-    )
+    highest = dim.agg(F.coalesce(F.max(key), F.lit(0)))
+    indexed = global_index(fresh.select(*attributes), [F.asc(business_key)], "_index")
+    numbered = indexed.withColumn(key, highest.scalar() + F.col("_index") + 1)
     changed = updates.select(*attributes).join(dim.select(business_key, key), business_key)
     kept = dim.join(updates.select(business_key), business_key, "left_anti")
     return (

@@ -239,16 +239,14 @@ class _Context:
 
 
 def _attach(left: DataFrame, right: DataFrame, labels: list[str]) -> DataFrame:
-    """Full outer join of two small grouped results; null groups match each other."""
-    if not labels:
-        return left.crossJoin(right)
-    marked = right.select(*[F.col(c).alias(f"_r_{c}") for c in labels],
-                          *[c for c in right.columns if c not in labels])
-    same = reduce(lambda a, b: a & b, [left[c].eqNullSafe(marked[f"_r_{c}"]) for c in labels])
-    joined = left.join(marked, same, "full")
-    for c in labels:
-        joined = joined.withColumn(c, F.coalesce(F.col(c), F.col(f"_r_{c}"))).drop(f"_r_{c}")
-    return joined
+    """Two grouped results side by side, groups of either side kept.
+
+    A union and one aggregation: null groups meet, and no join is needed.
+    """
+    both = left.unionByName(right, allowMissingColumns=True)
+    return both.groupBy(*labels).agg(
+        *[F.max(c).alias(c) for c in both.columns if c not in labels]
+    )
 
 
 def measure(
@@ -297,14 +295,16 @@ def _with_customers(context: _Context, result: DataFrame | None, labels: list[st
     shared = [c for c in labels if c in counts.columns]
     if shared == labels:
         return _attach(result, counts, labels)
-    return result.crossJoin(counts) if not shared else result.join(counts, shared, "left")
+    if not shared:
+        return result.withColumn("customers", counts.scalar())
+    return result.join(counts, shared, "left")
 
 
 def _with_days(context: _Context, result: DataFrame) -> DataFrame:
     days = context.days()
     shared = context.groups_of(DATES)
     if not shared:
-        return result.crossJoin(days)  # one row
+        return result.withColumn("days", days.scalar())
     return result.join(days, shared, "left")
 
 

@@ -64,7 +64,7 @@ def _inputs(snap: Snapshot, part: str) -> list[str | None]:
     return [snap.parts(t).get(part) for t in ("orders", "order_items")]
 
 
-def _stale_parts(snap: Snapshot, costs_changed: DataFrame) -> list[str]:
+def _stale_parts(snap: Snapshot, costs_changed: DataFrame | None) -> list[str]:
     """Parts whose fact no longer follows from the staged folders it was built from.
 
     A part is stale if its orders or lines were rewritten, if someone else wrote
@@ -74,6 +74,8 @@ def _stale_parts(snap: Snapshot, costs_changed: DataFrame) -> list[str]:
     fact = snap.parts("fact_order_items")
     known = {*snap.parts("orders"), *snap.parts("order_items"), *fact}
     stale = {p for p in known if built.get(p) != [*_inputs(snap, p), fact.get(p)]}
+    if costs_changed is None:
+        return sorted(stale)
     held = touched_parts(
         snap.table("fact_order_items"), costs_changed, ["product_key"],
         snap.part("fact_order_items"),
@@ -81,26 +83,43 @@ def _stale_parts(snap: Snapshot, costs_changed: DataFrame) -> list[str]:
     return sorted(stale | {str(p) for p in held})
 
 
+def _dimensions(snap: Snapshot, full: bool) -> dict[str, DataFrame]:
+    """New content of the dimensions whose staging changed since the last build."""
+    built = snap.meta.get("dimension_inputs", {})
+    fresh = {}
+    for name, source, build in (
+        ("dim_customer", "customers", dim_customer),
+        ("dim_product", "products", dim_product),
+    ):
+        if full or built.get(name) != [snap.parts(source), snap.parts(name)]:
+            fresh[name] = cut_lineage(build(snap.table(source), snap.table(name)))
+    return fresh
+
+
+def _costs_changed(snap: Snapshot, products: DataFrame) -> DataFrame:
+    old = snap.table("dim_product").select("product_key", F.col("unit_cost").alias("old"))
+    return products.join(old, "product_key").filter(
+        ~F.col("unit_cost").eqNullSafe(F.col("old"))
+    )
+
+
 def build_warehouse(store: Store, full: bool = False) -> dict[str, int]:
-    """Brings the star in line with staging; rewrites only the parts that changed.
+    """Brings the star in line with staging; rewrites only what changed.
 
     `full` rebuilds every part from scratch, with the same result.
     """
     snap = store.snapshot()
-    customers = cut_lineage(dim_customer(snap.table("customers"), snap.table("dim_customer")))
-    products = cut_lineage(dim_product(snap.table("products"), snap.table("dim_product")))
-    old_costs = snap.table("dim_product").select("product_key", F.col("unit_cost").alias("old"))
-    costs_changed = products.join(old_costs, "product_key").filter(
-        ~F.col("unit_cost").eqNullSafe(F.col("old"))
+    fresh = _dimensions(snap, full)
+    customers, products = (
+        fresh.get(name, snap.table(name)) for name in ("dim_customer", "dim_product")
     )
     if full:
         stale = sorted({*snap.parts("orders"), *snap.parts("fact_order_items")})
     else:
-        stale = _stale_parts(snap, costs_changed)
-    changes = {
-        "dim_customer": Rewrite(customers),
-        "dim_product": Rewrite(products),
-    }
+        stale = _stale_parts(
+            snap, _costs_changed(snap, products) if "dim_product" in fresh else None
+        )
+    changes = {name: Rewrite(rows) for name, rows in fresh.items()}
     if stale:
         lines, orders = (snap.table(t, stale) for t in ("order_items", "orders"))
         # The first and the last order lie in the first and the last part.
@@ -112,6 +131,14 @@ def build_warehouse(store: Store, full: bool = False) -> dict[str, int]:
         )
     after = store.publish(snap, changes)
     fact = after.parts("fact_order_items")
-    record = {p: [*_inputs(after, p), fact.get(p)] for p in {*after.parts("orders"), *fact}}
-    after = store.publish(after, {}, {"fact_inputs": record})
+    built = {
+        "fact_inputs": {
+            p: [*_inputs(after, p), fact.get(p)] for p in {*after.parts("orders"), *fact}
+        },
+        "dimension_inputs": {
+            name: [after.parts(source), after.parts(name)]
+            for name, source in (("dim_customer", "customers"), ("dim_product", "products"))
+        },
+    }
+    after = store.publish(after, {}, built)
     return {"fact_rows": after.table("fact_order_items").count(), "parts_rebuilt": len(stale)}

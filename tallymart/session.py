@@ -9,26 +9,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# All timestamps are read, compared and formatted in UTC. Joins on a hot key are
+# split at run time, even where that costs another shuffle.
+PINNED = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
 def build_session(app: str = "tallymart", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    settings = {
-        "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.ui.enabled": "false",
-        **conf,
-    }
+    settings = {**PINNED, "spark.ui.enabled": "false", **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return pin_session(builder.getOrCreate())
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """All timestamps are read, compared and formatted in UTC."""
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in PINNED.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
     return spark
 
 
