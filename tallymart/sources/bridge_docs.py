@@ -76,8 +76,10 @@ def order_events(spark: SparkSession, folder: str, most_items: int = MAX_ITEMS)
         .select("l_orderkey")
     )
     ordered = F.sort_array(F.collect_list("line"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     items = (
         lines.join(oversized, "l_orderkey", "left_anti")
+        .repartition(tasks, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(F.transform(ordered, lambda entry: entry["item"]).alias("items"))
     )
@@ -99,7 +101,15 @@ def order_events(spark: SparkSession, folder: str, most_items: int = MAX_ITEMS)
         "order_id", "customer_id", "status", "channel", "ordered_at",
         F.coalesce("items", F.array().cast(items.schema["items"].dataType)).alias("items"),
     )
-    return headers.join(items.unionByName(too_many), "l_orderkey", "left").select(
+    # Grouping and join share one partitioning. Its fixed number of tasks also
+    # stays for the JSON work that follows, which costs far more per byte than a scan.
+    with_items = headers.repartition(tasks, "l_orderkey").join(
+        items.hint("merge"), "l_orderkey", "left"
+    )
+    with_all = with_items.join(
+        too_many.withColumnRenamed("items", "_too_many"), "l_orderkey", "left"
+    ).withColumn("items", F.coalesce("_too_many", "items"))
+    return with_all.select(
         F.col("l_orderkey").alias("position"), F.to_json(event).alias("value")
     )
 

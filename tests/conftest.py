@@ -14,7 +14,7 @@ def spark():
         "tallymart-tests",
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",
             "spark.sql.sources.parallelPartitionDiscovery.threshold": "64",
         },
