@@ -121,7 +121,8 @@ def is_sale(status: Column) -> Column:
 
 
 def date_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    """20260131 for 31 January 2026, by arithmetic."""
+    return F.year(day) * 10_000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
 def year_month(day: Column) -> Column:

@@ -31,7 +31,7 @@ from tallymart.operators.validate import (
 from tallymart.plans.marts import MARTS
 from tallymart.plans.store import Rewrite, Snapshot, Store
 from tallymart.plans.warehouse import build_warehouse
-from tallymart.session import cut_lineage, pin_session
+from tallymart.session import cut_lineage, pin_session, releases_scratch
 from tallymart.sources.files import EPOCH, read_events, read_reference, read_since
 
 ORDERS_SOURCE = "raw_orders"
@@ -94,6 +94,7 @@ def _rejection_change(
 # ---------------------------------------------------------------- reference
 
 
+@releases_scratch
 def load_reference(store: Store, config: Config) -> dict[str, int]:
     """Customers and products from CSV; the last valid row of an id wins."""
     now, snap, spark = config.run_time(), store.snapshot(), store.spark
@@ -123,6 +124,7 @@ def load_reference(store: Store, config: Config) -> dict[str, int]:
 # ------------------------------------------------------------------- orders
 
 
+@releases_scratch
 def ingest(
     store: Store, events: DataFrame, ingested_at: datetime, meta: dict | None = None
 ) -> tuple[int, DataFrame]:
@@ -146,6 +148,7 @@ def watermark(snap: Snapshot) -> datetime:
     return found["position"] if found else EPOCH
 
 
+@releases_scratch
 def load_orders(
     store: Store, config: Config, since: datetime | None = None
 ) -> dict[str, int]:
@@ -215,6 +218,7 @@ def load_orders(
 # ---------------------------------------------------------- checks and marts
 
 
+@releases_scratch
 def check_quality(store: Store, config: Config, checks=CHECKS) -> dict[str, int]:
     """Runs and stores all checks, then fails the run if one failed."""
     snap = store.snapshot()
@@ -226,6 +230,7 @@ def check_quality(store: Store, config: Config, checks=CHECKS) -> dict[str, int]
     return {"checks": len(checks)}
 
 
+@releases_scratch
 def refresh_marts(store: Store) -> dict[str, int]:
     snap = store.snapshot()
     star = snap.star()

@@ -11,7 +11,7 @@ from tallymart.functions import values as v
 from tallymart.operators.keyed import assign_keys, insert_missing, touched_parts
 from tallymart.plans.star import calendar
 from tallymart.plans.store import Rewrite, Snapshot, Store
-from tallymart.session import cut_lineage
+from tallymart.session import cut_lineage, releases_scratch
 
 
 def fact_rows(
@@ -103,6 +103,7 @@ def _costs_changed(snap: Snapshot, products: DataFrame) -> DataFrame:
     )
 
 
+@releases_scratch
 def build_warehouse(store: Store, full: bool = False) -> dict[str, int]:
     """Brings the star in line with staging; rewrites only what changed.
 

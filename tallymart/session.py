@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,9 +64,38 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _created().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_LOCAL = threading.local()
+
+
+def _created() -> list[str]:
+    """Scratch tables written by this thread and not released yet."""
+    if not hasattr(_LOCAL, "paths"):
+        _LOCAL.paths = []
+    return _LOCAL.paths
+
+
+def releases_scratch(step: Callable) -> Callable:
+    """Deletes the scratch tables of a pipeline step once its results are published."""
+
+    @wraps(step)
+    def run(store, *args, **kwargs):
+        start = len(_created())
+        try:
+            return step(store, *args, **kwargs)
+        finally:
+            spark = store.spark
+            for path in _created()[start:]:
+                folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            del _created()[start:]
+
+    return run
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcasts `df` only after counting that it has at most `max_rows` rows.
 

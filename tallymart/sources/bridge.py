@@ -132,7 +132,9 @@ def star(spark: SparkSession, folder: str) -> Star:
     days = table(spark, folder, "orders").select(F.to_date("o_orderdate").alias("day"))
     return Star(
         fact_order_items=fact_lines(spark, folder),
-        dim_date=calendar(days, "day"),
+        # A generated calendar has no size statistics. It holds one short row per
+        # day, some thousands for any real shop, so lines never move to meet it.
+        dim_date=F.broadcast(calendar(days, "day")),
         dim_customer=staged_customers(spark, folder),
         dim_product=staged_products(spark, folder),
     )
