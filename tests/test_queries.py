@@ -40,5 +40,20 @@ def test_query(spark, engine, name):
         expected.fetchall(), columns, wanted)
 
 
+def test_oversized_orders_are_not_gathered(spark, engine):
+    """With a small limit, larger orders become events with just one item too many."""
+    from tallymart.sources.bridge_docs import order_events
+
+    events = order_events(spark, FOLDER, most_items=3).selectExpr(
+        "json_array_length(get_json_object(value, '$.items')) AS n")
+    found = {r["n"]: r["count"] for r in events.groupBy("n").count().collect()}
+    expected = dict(engine.execute("""
+        SELECT least(n, 4), count(*) FROM (
+          SELECT o_orderkey, count(l_orderkey) AS n
+          FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1) GROUP BY 1
+    """).fetchall())
+    assert found == expected
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
