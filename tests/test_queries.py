@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracles import ORACLES
+from tallymart.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
@@ -26,13 +28,14 @@ def ordered(rows, columns, wanted):
 
 
 def test_names_match():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, engine, name):
-    found = entry.queries()[name](spark, FOLDER)
-    expected = engine.execute(entry.oracle_sql()[name])
+    found = QUERIES[name](spark, FOLDER)
+    expected = engine.execute(ORACLES[name])
     columns = [c[0] for c in expected.description]
     assert sorted(columns) == sorted(found.columns)
     wanted = sorted(columns)
