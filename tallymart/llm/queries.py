@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from tallymart.llm import quality_rules
+from tallymart.llm import kdtree, mixture, quality_rules
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op5_mix_sources": mixture.op5_mix_sources,
+    "op10_kd_tree_top_k": kdtree.op10_kd_tree_top_k,
 }
 
 LLM_ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op10_kd_tree_top_k": kdtree.ORACLE,
 }
