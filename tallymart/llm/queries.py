@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from tallymart.llm import kdtree, mixture, quality_rules
+from tallymart.llm import hilbert_pack, kdtree, mixture, quality_rules, warc
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op5_mix_sources": mixture.op5_mix_sources,
+    "op6_hilbert_packing": hilbert_pack.op6_hilbert_packing,
+    "op7_warc_index_merge": warc.op7_warc_index_merge,
     "op10_kd_tree_top_k": kdtree.op10_kd_tree_top_k,
 }
 
 LLM_ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op7_warc_index_merge": warc.ORACLE,
     "op10_kd_tree_top_k": kdtree.ORACLE,
 }
