@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tallymart.llm import hilbert_pack, kdtree, mixture, quality_rules, warc
+from tallymart.llm import hilbert_pack, kdtree, mixture, pii, quality_rules, warc
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op5_mix_sources": mixture.op5_mix_sources,
     "op6_hilbert_packing": hilbert_pack.op6_hilbert_packing,
     "op7_warc_index_merge": warc.op7_warc_index_merge,
+    "op9_disclosing_terms": pii.op9_disclosing_terms,
     "op10_kd_tree_top_k": kdtree.op10_kd_tree_top_k,
 }
 
