@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tallymart.llm import hilbert_pack, kdtree, mixture, pii, quality_rules, warc
+from tallymart.llm import factorisation, hilbert_pack, kdtree, mixture, pii, quality_rules, warc
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_factorisation_machine": factorisation.op2_factorisation_machine,
     "op5_mix_sources": mixture.op5_mix_sources,
     "op6_hilbert_packing": hilbert_pack.op6_hilbert_packing,
     "op7_warc_index_merge": warc.op7_warc_index_merge,
