@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallymart.llm import factorisation, hilbert_pack, kdtree, mixture, pii, quality_rules, warc
+from tallymart.llm import doubling, factorisation, hilbert_pack, kdtree, mixture, pii, quality_rules, warc
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_factorisation_machine": factorisation.op2_factorisation_machine,
+    "op4_doubling_dedup": doubling.op4_doubling_dedup,
     "op5_mix_sources": mixture.op5_mix_sources,
     "op6_hilbert_packing": hilbert_pack.op6_hilbert_packing,
     "op7_warc_index_merge": warc.op7_warc_index_merge,
@@ -16,6 +17,7 @@ LLM_QUERIES = {
 
 LLM_ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op4_doubling_dedup": doubling.ORACLE,
     "op7_warc_index_merge": warc.ORACLE,
     "op10_kd_tree_top_k": kdtree.ORACLE,
 }
