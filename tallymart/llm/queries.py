@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallymart.llm import doubling, factorisation, hilbert_pack, kdtree, mixture, pii, quality_rules, warc
+from tallymart.llm import doubling, factorisation, hilbert_pack, kdtree, mixture, pii, quality_rules, suffix_arrays, warc
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -11,6 +11,7 @@ LLM_QUERIES = {
     "op5_mix_sources": mixture.op5_mix_sources,
     "op6_hilbert_packing": hilbert_pack.op6_hilbert_packing,
     "op7_warc_index_merge": warc.op7_warc_index_merge,
+    "op8_suffix_array_dedup": suffix_arrays.op8_suffix_array_dedup,
     "op9_disclosing_terms": pii.op9_disclosing_terms,
     "op10_kd_tree_top_k": kdtree.op10_kd_tree_top_k,
 }
@@ -19,5 +20,6 @@ LLM_ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
     "op4_doubling_dedup": doubling.ORACLE,
     "op7_warc_index_merge": warc.ORACLE,
+    "op8_suffix_array_dedup": suffix_arrays.ORACLE,
     "op10_kd_tree_top_k": kdtree.ORACLE,
 }
