@@ -60,7 +60,7 @@ def write_blocks(docs: DataFrame) -> tuple[DataFrame, Layout]:
     name = f"llm_blocks_{uuid.uuid4().hex}"
     files = min(layout.blocks, FILES)
     rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(layout.blocks))).repartition(
-        files, "block").write.bucketBy(files, "block").option(
+        files, "block").write.bucketBy(files, "block").option("compression", "zstd").option(
         "path", f"{checkpoint_folder(spark)}/tables/{name}").saveAsTable(name)
     return spark.table(name), layout
 
@@ -152,6 +152,13 @@ def sliced(hashes: np.ndarray, buckets: int):
         yield int(b), slice(cut[b], cut[b + 1])
 
 
+def shortened(hashes: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    """The leading 32 bits of hashes inside their bucket's range. Two hashes that fall
+    together here only make a candidate more, never one less."""
+    shift = max(0, 33 - buckets.bit_length())
+    return ((hashes - np.uint64((bucket << 64) // buckets)) >> np.uint64(shift)).astype(np.uint32)
+
+
 def planes(values: np.ndarray) -> bytes:
     """Bytes of 64-bit values by significance, which lets the shuffle compress the high ones."""
     return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -188,7 +195,7 @@ def find_shared(blocks: DataFrame, anchors: Callable[[Block], Runs], buckets: in
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else order
         last = np.append(first[1:], len(hashes)) - 1 if len(hashes) else order
         several, hashes = docs[first] != docs[last], hashes[first]
-        out = [(b, block.number, hashes[s].tobytes(), np.packbits(several[s]).tobytes())
+        out = [(b, block.number, shortened(hashes[s], b, buckets).tobytes(), np.packbits(several[s]).tobytes())
                for b, s in sliced(hashes, buckets)]
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(
             list(zip(*out, strict=True)) or [[]] * 4,
@@ -197,7 +204,7 @@ def find_shared(blocks: DataFrame, anchors: Callable[[Block], Runs], buckets: in
 
     def answer(rows: pa.Table) -> pa.Table:
         owner = rows.column("block").to_pylist()
-        each = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
+        each = [np.frombuffer(x, np.uint32) for x in rows.column("hashes").to_pylist()]
         several = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=len(h))
                                   for x, h in zip(rows.column("several").to_pylist(), each, strict=True)])
         hashes = np.concatenate(each)

@@ -106,7 +106,7 @@ def _candidates(block: B.Block, read: _Read, marks: pa.Table):
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """Blocks of `docs`, and the answers that tell each block which windows to remove (kind 2)."""
     blocks, layout = B.write_blocks(docs)
-    shared = B.find_shared(blocks, lambda block: _read(block, window).runs, layout.buckets(0.35))
+    shared = B.find_shared(blocks, lambda block: _read(block, window).runs, layout.buckets(0.2))
     buckets = layout.buckets(1.0)
 
     def send(rows: pa.Table, marks: pa.Table) -> pa.Table:

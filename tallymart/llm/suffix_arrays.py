@@ -221,7 +221,7 @@ def _apply(block: B.Block, found: _Segments, answers: pa.Table, window: int):
 def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 per document; with `texts` also the kept bytes."""
     blocks, layout = B.write_blocks(docs)
-    shared = B.find_shared(blocks, lambda block: _anchors(block, window), layout.buckets(0.55))
+    shared = B.find_shared(blocks, lambda block: _anchors(block, window), layout.buckets(0.3))
     shards = layout.buckets(SEGMENTS, SHARD_BYTES)
 
     def send(rows: pa.Table, marks: pa.Table) -> pa.Table:
