@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tallymart.llm import doubling, factorisation, hilbert_pack, kdtree, mixture, pii, quality_rules, suffix_arrays, warc
+from tallymart.llm import doubling, factorisation, hilbert_pack, kdtree, mixture, ngram_join, pii, quality_rules, suffix_arrays, warc
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_factorisation_machine": factorisation.op2_factorisation_machine,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_doubling_dedup": doubling.op4_doubling_dedup,
     "op5_mix_sources": mixture.op5_mix_sources,
     "op6_hilbert_packing": hilbert_pack.op6_hilbert_packing,
@@ -18,6 +19,7 @@ LLM_QUERIES = {
 
 LLM_ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE,
+    "op3_ngram_join": ngram_join.ORACLE,
     "op4_doubling_dedup": doubling.ORACLE,
     "op7_warc_index_merge": warc.ORACLE,
     "op8_suffix_array_dedup": suffix_arrays.ORACLE,
