@@ -10,8 +10,7 @@ Inside a source the budget is met in three steps on its histogram of exact
 document lengths (one row per distinct length, never the documents): whole
 copies of the source, then the same fraction of every length, then the
 remaining words by greedy rounding and a bounded-knapsack dynamic programme
-(`subset_sum`), which finds the counts per length that come nearest without
-exceeding. Which documents of a length are used is decided by a seeded hash of
+(`subset_sum`), which finds the counts per length that come nearest from below. Which documents of a length are used is decided by a seeded hash of
 their id. Counts per length are split over `SALTS` hash ranges, so a length
 that a third of all documents share is picked in as many tasks.
 
@@ -93,6 +92,11 @@ def fit_source(sizes: list[int], counts: list[int], target: int) -> tuple[int, l
     place = {s: i for i, s in enumerate(sizes)}
     for size, more in best.items():
         take[place[size]] += more
+        rest -= size * more
+    # Where the last words cannot be met from below, one document may come nearer from above.
+    over = [s for s, c, t in zip(sizes, counts, take, strict=True) if t < c and rest < s < 2 * rest]
+    if over:
+        take[place[min(over)]] += 1
     return copies, take
 
 
