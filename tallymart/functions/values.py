@@ -16,6 +16,7 @@ NOT_SALES = ["cancelled", "returned"]
 EMAIL_PATTERN = r"(?U)^[^\s@]+@[^\s@]+\.[^\s@]+$"
 
 MAX_INT = 2_147_483_647
+AMOUNT_LIMIT = 100_000_000  # amounts are decimal(10,2)
 
 # The white space of Unicode, and what the two sides of the
 # contract add to it (separators in the loader, the byte order mark at the door).
@@ -53,31 +54,59 @@ def iso_date(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
 
 
+_NUMBER = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?$"
+
+
+def _read_number(text: Column) -> tuple[Column, Column, Column, Column]:
+    """Of a number as text: is it one, is it zero, is it positive, and the power of
+    ten of its last digit that is not zero. Digits are judged as text, so that
+    rounding in a cast can hide nothing."""
+    fraction = F.regexp_extract(text, _NUMBER, 3)
+    digits = F.concat(F.regexp_extract(text, _NUMBER, 2), fraction)
+    significant = F.regexp_replace(digits, "0+$", "")
+    exponent = F.coalesce(F.regexp_extract(text, _NUMBER, 4).try_cast("int"), F.lit(0))
+    last_place = exponent - F.length(fraction) + F.length(digits) - F.length(significant)
+    wellformed = text.rlike(_NUMBER) & (F.length(digits) > 0)
+    return (
+        wellformed, significant.rlike("^0*$"), F.regexp_extract(text, _NUMBER, 1) != "-", last_place
+    )
+
+
+def _at_least(text: Column, limit: int) -> Column:
+    """Beyond the widest decimal a cast gives null, which is too much as well."""
+    return F.coalesce(text.try_cast("decimal(38,10)") >= limit, F.lit(True))
+
+
 def money(text: Column) -> Column:
-    """Non-negative amount with at most two significant decimals, else null.
+    """Non-negative amount below AMOUNT_LIMIT with at most two significant decimals, else null.
 
-    The digits are judged as text, so rounding in a cast can hide nothing. A
-    plain amount takes the first branch; signs and exponents take the second.
+    A plain amount takes the first branch; signs and exponents take the second.
     """
     plain = text.rlike(r"^\d{1,8}(\.\d{0,2}0*)?$")
-    number = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?$"
-    whole = F.regexp_extract(text, number, 2)
-    fraction = F.regexp_extract(text, number, 3)
-    digits = F.concat(whole, fraction)
-    significant = F.regexp_replace(digits, "0+$", "")
-    exponent = F.coalesce(F.regexp_extract(text, number, 4).try_cast("int"), F.lit(0))
-    last_place = exponent - F.length(fraction) + F.length(digits) - F.length(significant)
-    zero = significant.rlike("^0*$")
-    wellformed = text.rlike(number) & (F.length(digits) > 0)
-    positive = (F.regexp_extract(text, number, 1) != "-") & (last_place >= -2)
-    amount = text.try_cast("decimal(38,10)")
+    wellformed, zero, positive, last_place = _read_number(text)
+    small = positive & (last_place >= -2) & ~_at_least(text, AMOUNT_LIMIT)
     return (
         F.when(plain, text.try_cast("decimal(10,2)"))
         .when(wellformed & zero, F.lit(0).cast("decimal(10,2)"))
-        .when(wellformed & positive & (amount < 100_000_000), amount.try_cast("decimal(10,2)"))
+        .when(wellformed & small, text.try_cast("decimal(38,10)").try_cast("decimal(10,2)"))
     )
 
 
+def too_large(text: Column) -> Column:
+    """True for an amount that is right but does not fit its column."""
+    wellformed, zero, positive, last_place = _read_number(text)
+    return F.coalesce(
+        wellformed & ~zero & positive & (last_place >= -2) & _at_least(text, AMOUNT_LIMIT),
+        F.lit(False))
+
+
+def whole_number(text: Column) -> Column:
+    """Positive whole number up to MAX_INT, else null; 4.0 and 4e0 are 4."""
+    wellformed, zero, positive, last_place = _read_number(text)
+    whole = wellformed & ~zero & positive & (last_place >= 0) & ~_at_least(text, MAX_INT + 1)
+    return F.when(whole, text.try_cast("decimal(38,10)").cast("int"))
+
+
 def moment(text: Column) -> Column:
     """ISO timestamp to a UTC instant; a value without an offset is taken as UTC."""
     shape = (

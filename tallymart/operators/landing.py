@@ -27,12 +27,13 @@ def land(current: DataFrame, batch: DataFrame) -> DataFrame:
     version of the orders in the batch.
     """
     newest = F.struct("ingested_at", "doc", "ingested_date")
+    # At one instant the batch, which arrived later, wins.
     return (
-        current.unionByName(batch)
-        .withColumn("_batch", F.lit(1))
+        current.withColumn("_batch", F.lit(0))
+        .unionByName(batch.withColumn("_batch", F.lit(1)))
         .groupBy("order_id")
         .agg(
-            F.max_by(newest, F.col("ingested_at")).alias("_newest"),
+            F.max_by(newest, F.struct("ingested_at", "_batch")).alias("_newest"),
             F.min("first_seen_at").alias("first_seen_at"),
         )
         .select("order_id", "_newest.doc", "_newest.ingested_at", "first_seen_at",

@@ -5,9 +5,6 @@ spreads the rows over range partitions, each row learns its place inside its
 partition, and a table with one row per partition supplies the offset. The
 sorted rows are written once, so the places cannot change between the job
 that counts them and the job that uses them.
-
-Small inputs (counted, at most `SMALL_ROWS`) take the plain window instead: one
-task is cheaper there than a range sort.
 """
 
 from __future__ import annotations
@@ -17,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tallymart.session import cut_lineage
 
-SMALL_ROWS = 100_000
 _PLACE = "_place"
+_ROW = "_row"
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the partition above these bits
 
 
@@ -67,59 +64,53 @@ def _tile(index: Column, rows: Column, tiles: int) -> Column:
     )
 
 
-def global_ntiles(
-    df: DataFrame, tiles: int, orders: dict[str, list[Column]], small_rows: int = SMALL_ROWS
-) -> DataFrame:
+def global_ntiles(df: DataFrame, tiles: int, orders: dict[str, list[Column]]) -> DataFrame:
     """Adds one tile column per entry of `orders` (name -> total order).
 
-    Rows and values equal `ntile(tiles) over (order by ...)`.
+    Rows and values equal `ntile(tiles) over (order by ...)`. The rows are written
+    once; the orders are sorted and numbered on their own columns and a row number
+    only, and the tiles join on that number.
     """
-    current = cut_lineage(df)
-    if current.count() <= small_rows:
-        for name, by in orders.items():
-            current = current.withColumn(name, F.ntile(tiles).over(Window.orderBy(*by)))
-        return current
+    rows = cut_lineage(df.withColumn(_ROW, F.monotonically_increasing_id()))
+    out = rows
     for name, by in orders.items():
-        indexed = _with_index(_sorted_slices(current, by), "_index", "_total")
-        current = indexed.withColumn(name, _tile(F.col("_index"), F.col("_total"), tiles)).drop(
-            "_slice", "_index", "_total"
-        )
-    return current
-
-
-def global_rank(
-    df: DataFrame,
-    value: str,
-    tie_breaker: str,
-    name: str = "rank",
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+        keys = [key.alias(f"_by{i}") for i, key in enumerate(_plain(by))]
+        narrow = rows.select(_ROW, *keys)
+        sorted_ = _sorted_slices(narrow, [F.col(f"_by{i}") for i in range(len(by))])
+        tile = _with_index(sorted_, "_index", "_total").select(
+            F.col(_ROW), _tile(F.col("_index"), F.col("_total"), tiles).alias(name))
+        out = out.join(tile, _ROW)
+    return out.drop(_ROW)
+
+
+def _plain(by: list[Column | str]) -> list[Column]:
+    return [F.col(key) if isinstance(key, str) else key for key in by]
+
+
+def global_rank(df: DataFrame, value: str, tie_breaker: str, name: str = "rank") -> DataFrame:
     """Adds `rank() over (order by value desc)`; `tie_breaker` only spreads equal values.
 
-    A value shared by very many rows covers several range partitions. Its rank
-    comes from a table with at most one row per partition; every other value
+    A value (or null) shared by very many rows covers several range partitions. Its
+    rank comes from a table with at most one row per partition; every other value
     lies inside one partition, where a window per value finds its first index.
     """
-    rows = cut_lineage(df)
-    if rows.count() <= small_rows:
-        return rows.withColumn(name, F.rank().over(Window.orderBy(F.desc(value))))
-    slices = _sorted_slices(rows, [F.desc(value), F.asc(tie_breaker)])
+    slices = _sorted_slices(df, [F.desc(value), F.asc(tie_breaker)])
     indexed = _with_index(slices, "_index", "_total").drop("_total")
     leading = (
         indexed.groupBy("_slice")
-        .agg(F.min_by(value, "_index").alias(value))
-        .select(value)
+        .agg(F.min_by(value, "_index").alias("_value"))
+        .select("_value")
         .distinct()
     )
     spanning = (
-        indexed.join(F.broadcast(leading), value)
-        .groupBy(value)
+        indexed.join(F.broadcast(leading), F.col(value).eqNullSafe(F.col("_value")))
+        .groupBy("_value")
         .agg(F.min("_index").alias("_first_of_value"))
     )
     within = F.min("_index").over(Window.partitionBy("_slice", value))
     return (
         indexed.withColumn("_first_in_slice", within)
-        .join(F.broadcast(spanning), value, "left")
+        .join(F.broadcast(spanning), F.col(value).eqNullSafe(F.col("_value")), "left")
         .withColumn(name, (F.coalesce("_first_of_value", "_first_in_slice") + 1).cast("int"))
         .select(*df.columns, name)
     )

@@ -234,7 +234,7 @@ def check_shape(events: DataFrame, position: str = "position") -> tuple[DataFram
     """Splits parsed events into (accepted, refused).
 
     `accepted` keeps `position` and gains `order_id` and the stored `doc`;
-    `refused` holds `index` (the position) and `errors`.
+    `refused` holds `index` (the position), `errors` and the `text` as it came.
     """
     judged = judge_shape(events)
     accepted = judged.filter(F.size("errors") == 0).select(
@@ -242,7 +242,8 @@ def check_shape(events: DataFrame, position: str = "position") -> tuple[DataFram
         trimmed(F.try_variant_get("event", "$.order_id", "string")).alias("order_id"),
         trimmed_document(F.col("event")).alias("doc"),
     )
+    text = F.col("value") if "value" in judged.columns else F.to_json("event")
     refused = judged.filter(F.size("errors") > 0).select(
-        F.col(position).alias("index"), "errors"
+        F.col(position).alias("index"), "errors", text.alias("text")
     )
     return accepted, refused

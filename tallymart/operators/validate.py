@@ -14,7 +14,7 @@ from tallymart.functions import values as v
 from tallymart.functions.values import trimmed
 from tallymart.operators.once import with_columns_once
 from tallymart.operators.shape import field, kind
-from tallymart.session import broadcast_if_small, cut_lineage
+from tallymart.session import cut_lineage
 
 NO_ID = "?"
 
@@ -67,12 +67,15 @@ def validate_product(rows: DataFrame) -> DataFrame:
         *[v.text_or_empty(_column_or_null(rows, c)).alias(c)
           for c in ("product_id", "name", "category")],
         *[v.money(v.text_or_empty(_column_or_null(rows, c))).alias(c) for c in amounts],
+        *[v.too_large(v.text_or_empty(_column_or_null(rows, c))).alias(f"_large_{c}") for c in amounts],
     )
     reasons = _reasons(
         *[v.required(F.col(c), c) for c in ("product_id", "name", "category")],
-        *[F.when(F.col(c).isNull(), F.lit(f"{c} must be a non-negative amount")) for c in amounts],
+        *[F.when(F.col(f"_large_{c}"), F.lit(f"{c} must be below {v.AMOUNT_LIMIT}"))
+          .when(F.col(c).isNull(), F.lit(f"{c} must be a non-negative amount")) for c in amounts],
     )
-    return clean.withColumns({"reasons": reasons, "record_id": _record_id("product_id")})
+    return clean.withColumns({"reasons": reasons, "record_id": _record_id("product_id")}).drop(
+        *[f"_large_{c}" for c in amounts])
 
 
 def _record_id(key: str) -> Column:
@@ -95,7 +98,7 @@ def _raw_item(item: Column, position: Column) -> Column:
         (kind(item) == "OBJECT").alias("is_object"),
         _text_of(item, "product_id").alias("product_id"),
         kind(field(item, "quantity")).alias("quantity_kind"),
-        F.try_variant_get(item, "$.quantity", "decimal(38,10)").alias("quantity"),
+        trimmed(F.try_variant_get(item, "$.quantity", "string")).alias("quantity"),
         kind(field(item, "unit_price")).alias("price_kind"),
         trimmed(F.try_variant_get(item, "$.unit_price", "string")).alias("price"),
     )
@@ -106,16 +109,15 @@ def _typed_item(raw: Column) -> Column:
 
     A quantity must be a JSON number without a fraction; text is refused.
     """
-    number = raw["quantity"]
-    whole = (number == F.floor(number)) & (number > 0) & (number <= v.MAX_INT)
     numeric = raw["quantity_kind"].isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
     return F.struct(
         raw["position"].alias("position"),
         raw["is_object"].alias("is_object"),
         F.when(raw["is_object"], raw["product_id"]).alias("product_id"),
-        F.when(numeric & whole, number.cast("int")).alias("quantity"),
+        F.when(numeric, v.whole_number(raw["quantity"])).alias("quantity"),
         F.when(~raw["price_kind"].isin("BOOLEAN", "VOID"), v.money(raw["price"]))
         .alias("unit_price"),
+        (~raw["price_kind"].isin("BOOLEAN", "VOID") & v.too_large(raw["price"])).alias("too_dear"),
     )
 
 
@@ -143,23 +145,24 @@ def unknown_ids(mentioned: DataFrame, known: DataFrame, key: str) -> DataFrame:
 
 
 def _mark_unknown(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Adds `customer_unknown` and `unknown_products` (array) to normalised orders."""
+    """Adds `customer_unknown` and `unknown_products` (array) to normalised orders.
+
+    The lookups are written tables, so their size in bytes decides how they are joined.
+    """
     strangers = cut_lineage(unknown_ids(orders, customers, "customer_id"))
     orders = orders.join(
-        broadcast_if_small(strangers.withColumn("customer_unknown", F.lit(True))),
-        "customer_id",
-        "left",
+        strangers.withColumn("customer_unknown", F.lit(True)), "customer_id", "left"
     )
     mentions = orders.select(
         "doc_id", F.explode(F.array_distinct("lines.product_id")).alias("product_id")
     ).filter(F.col("product_id").isNotNull())
     missing = cut_lineage(unknown_ids(mentions, products, "product_id"))
     per_order = cut_lineage(
-        mentions.join(broadcast_if_small(missing), "product_id")
+        mentions.join(missing, "product_id")
         .groupBy("doc_id")
         .agg(F.collect_set("product_id").alias("unknown_products"))
     )
-    return orders.join(broadcast_if_small(per_order), "doc_id", "left").withColumns(
+    return orders.join(per_order, "doc_id", "left").withColumns(
         {
             "customer_unknown": F.coalesce("customer_unknown", F.lit(False)),
             "unknown_products": F.coalesce(
@@ -183,6 +186,8 @@ def _line_reasons(line: Column, ids: Column, unknown: Column) -> Column:
             F.concat(prefix, F.lit("quantity must be a positive integer")),
         ),
         F.when(
+            line["too_dear"], F.concat(prefix, F.lit(f"unit_price must be below {v.AMOUNT_LIMIT}"))
+        ).when(
             line["unit_price"].isNull(),
             F.concat(prefix, F.lit("unit_price must be a non-negative amount")),
         ),

@@ -9,12 +9,12 @@ from collections.abc import Mapping
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.functions import values as v
-from tallymart.operators.quality import DataQualityError
+from tallymart.operators.quality import FailedChecks
 from tallymart.plans.star import Star
 from tallymart.plans.store import Rewrite, Snapshot, Store
 from tallymart.schemas import EXPORT_KEYS, EXPORTS, LOADED_CLUSTER, SNAPSHOT_COLUMNS
@@ -64,10 +64,13 @@ def export(star: Star, path: str, run_id: str | None = None) -> dict[str, int]:
     run_id = run_id or new_run_id()
     counts = {}
     for table, frame in export_frames(star).items():
-        counts[table] = frame.count()
-        _spread_by_key(as_json_values(frame), EXPORT_KEYS[table]).write.mode("overwrite").option(
+        # Counted while it is written, where no later stage can run a row twice.
+        seen = Observation()
+        lines = _spread_by_key(as_json_values(frame), EXPORT_KEYS[table])
+        lines.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option(
             "ignoreNullFields", False
         ).json(_table_path(path, run_id, table))
+        counts[table] = seen.get["rows"]
     return counts
 
 
@@ -124,13 +127,13 @@ def loaded_star(snap: Snapshot) -> Star:
 
 def reconcile(exported: Mapping[str, int], loaded: Mapping[str, int]) -> None:
     """Raises and names every table whose loaded rows differ from the exported ones."""
-    failures = [
-        (f"loaded_rows_{table}", f"exported {rows}, loaded {loaded.get(table, 0)}")
+    gaps = {
+        f"loaded_rows_{table}": f"exported {rows}, loaded {loaded.get(table, 0)}"
         for table, rows in exported.items()
         if rows != loaded.get(table, 0)
-    ]
-    if failures:
-        raise DataQualityError(failures)
+    }
+    if gaps:
+        raise FailedChecks(gaps)
 
 
 def snapshot_frames(star: Star) -> dict[str, DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions import values as v
-from tallymart.operators.ranking import SMALL_ROWS, global_ntiles, global_rank
+from tallymart.operators.ranking import global_ntiles, global_rank
 from tallymart.plans.star import Star
 
 
@@ -58,10 +58,8 @@ def product_sales(star: Star) -> DataFrame:
     )
 
 
-def product_performance(star: Star, small_rows: int = SMALL_ROWS) -> DataFrame:
-    return global_rank(
-        product_sales(star), "revenue", "product_id", name="revenue_rank", small_rows=small_rows
-    )
+def product_performance(star: Star) -> DataFrame:
+    return global_rank(product_sales(star), "revenue", "product_id", name="revenue_rank")
 
 
 def customer_sales(star: Star) -> DataFrame:
@@ -94,19 +92,18 @@ def segment(recency: Column, frequency: Column, monetary: Column) -> Column:
     )
 
 
-def customer_segments(star: Star, small_rows: int = SMALL_ROWS) -> DataFrame:
+def customer_segments(star: Star) -> DataFrame:
     scored = global_ntiles(
         customer_sales(star),
         4,
         {
-            score: [F.asc(measure), F.asc("customer_id")]
+            score: [measure, "customer_id"]
             for score, measure in (
                 ("recency_score", "last_order_date"),
                 ("frequency_score", "orders"),
                 ("monetary_score", "revenue"),
             )
         },
-        small_rows=small_rows,
     )
     scores = [F.col(c) for c in ("recency_score", "frequency_score", "monetary_score")]
     return scored.withColumn("segment", segment(*scores))

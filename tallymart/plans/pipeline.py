@@ -32,7 +32,7 @@ from tallymart.plans.marts import MARTS
 from tallymart.plans.store import Rewrite, Snapshot, Store
 from tallymart.plans.warehouse import build_warehouse
 from tallymart.session import cut_lineage, pin_session, releases_scratch
-from tallymart.sources.files import EPOCH, read_events, read_reference, read_since
+from tallymart.sources.files import EPOCH, parts_since, read_events, read_reference, read_since
 
 ORDERS_SOURCE = "raw_orders"
 
@@ -128,9 +128,16 @@ def load_reference(store: Store, config: Config) -> dict[str, int]:
 def ingest(
     store: Store, events: DataFrame, ingested_at: datetime, meta: dict | None = None
 ) -> tuple[int, DataFrame]:
-    """Shape check and landing of one batch; (accepted orders, refused events)."""
+    """Shape check and landing of one batch; (accepted orders, refused events).
+
+    Refused events go to `refused_events` together with the landing.
+    """
     snap = store.snapshot()
     accepted, refused = check_shape(events)
+    stamp = _lit(ingested_at)
+    kept = cut_lineage(refused.select(
+        F.col("index").cast("string").alias("position"), "errors", "text",
+        stamp.alias("refused_at"), F.to_date(stamp).alias("refused_date")))
     batch = cut_lineage(lz.newest_of_batch(accepted, _lit(ingested_at)))
     part = snap.part("landing")
     parts = _union(
@@ -139,6 +146,10 @@ def ingest(
     # The touched parts hold every earlier version of the batch's orders.
     rows = lz.land(snap.table("landing", parts), batch)
     changes = {"landing": Rewrite(rows, parts)} if parts else {}
+    today = _parts_of(kept, snap.part("refused_events"))
+    if today:
+        earlier = snap.table("refused_events", today)
+        changes["refused_events"] = Rewrite(earlier.unionByName(kept), today)
     store.publish(snap, changes, meta)
     return batch.count(), refused
 
@@ -161,8 +172,8 @@ def load_orders(
     position = since or watermark(snap)
     # Judging a document costs far more than moving it, and a few large files would
     # keep most cores idle: spread the documents evenly first.
-    tasks = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
-    arrived = read_since(snap.table("landing"), position).repartition(tasks, "order_id")
+    parts = parts_since(snap.parts("landing"), position)
+    arrived = read_since(snap.table("landing", parts), position).hint("rebalance")
     fresh = parse_events(arrived, "doc").drop("order_id")
     judged = cut_lineage(
         validate_order(

@@ -85,8 +85,8 @@ _on_star(
     "report_customer_segments",
     lambda s: reports.report_customer_segments(marts.customer_segments(s)),
 )
-_on_star("product_performance_distributed", lambda s: marts.product_performance(s, small_rows=0))
-_on_star("customer_segments_distributed", lambda s: marts.customer_segments(s, small_rows=0))
+_on_star("product_performance_distributed", marts.product_performance)
+_on_star("customer_segments_distributed", marts.customer_segments)
 
 # ------------------------------------------------------------------- measures
 
@@ -231,10 +231,9 @@ def distributed_ntile(spark: SparkSession, folder: str) -> DataFrame:
         orders,
         4,
         {
-            "price_tile": [F.asc("o_totalprice"), F.asc("o_orderkey")],
-            "date_tile": [F.asc("o_orderdate"), F.asc("o_orderkey")],
+            "price_tile": ["o_totalprice", "o_orderkey"],
+            "date_tile": ["o_orderdate", "o_orderkey"],
         },
-        small_rows=0,
     ).select("o_orderkey", "price_tile", "date_tile")
 
 
@@ -244,7 +243,7 @@ def distributed_rank(spark: SparkSession, folder: str) -> DataFrame:
     lines = bridge.table(spark, folder, "lineitem").groupBy("l_partkey").agg(
         F.count("*").alias("lines")
     )
-    return global_rank(lines, "lines", "l_partkey", name="line_rank", small_rows=0)
+    return global_rank(lines, "lines", "l_partkey", name="line_rank")
 
 
 @query
@@ -261,7 +260,8 @@ def shape_check(spark: SparkSession, folder: str) -> DataFrame:
     """Order events and the loose properties of user events, by shape verdict."""
     orders = docs.order_events(spark, folder).select("value")
     loose = bridge.table(spark, folder, "events").select(F.col("props").alias("value"))
-    judged = shape.judge_shape(shape.parse_events(orders.unionByName(loose)))
+    judged = shape.judge_shape(shape.parse_events(orders.unionByName(loose))).select("errors")
+    judged = judged.unionByName(docs.oversized_orders(spark, folder).select("errors"))
     return judged.groupBy(F.array_join("errors", "; ").alias("errors")).agg(
         F.count("*").alias("events")
     )

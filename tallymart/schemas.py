@@ -32,6 +32,10 @@ REJECTED_RECORDS = _table(
     ("source", TEXT), ("record_id", TEXT), ("reasons", T.ArrayType(TEXT)), ("payload", TEXT),
     ("rejected_at", MOMENT), ("rejected_date", DATE),
 )
+REFUSED_EVENTS = _table(
+    ("position", TEXT), ("errors", T.ArrayType(TEXT)), ("text", TEXT), ("refused_at", MOMENT),
+    ("refused_date", DATE),
+)
 QUALITY_RESULTS = _table(
     ("check_name", TEXT), ("passed", FLAG), ("observed", TEXT), ("checked_at", MOMENT)
 )
@@ -76,6 +80,7 @@ FACT_ORDER_ITEMS = _table(
 # name -> (schema, the date column that lays out the files, or None)
 TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "landing": (LANDING, "ingested_date"),
+    "refused_events": (REFUSED_EVENTS, "refused_date"),
     "watermarks": (WATERMARKS, None),
     "rejected_records": (REJECTED_RECORDS, "rejected_date"),
     "quality_results": (QUALITY_RESULTS, None),

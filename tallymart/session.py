@@ -19,6 +19,8 @@ PINNED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Of a repeated key in a JSON object the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -94,14 +96,3 @@ def releases_scratch(step: Callable) -> Callable:
             del _created()[start:]
 
     return run
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcasts `df` only after counting that it has at most `max_rows` rows.
-
-    Counting stops at `max_rows + 1`. Larger inputs come back without a hint and
-    join by shuffle. Pass rows that are already written (see `cut_lineage`).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

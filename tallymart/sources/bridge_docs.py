@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators.shape import MAX_ITEMS
+from tallymart.session import cut_lineage
 from tallymart.sources import bridge
 
 NOW = "2001-01-01T00:00:00Z"
@@ -62,33 +63,37 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def order_events(spark: SparkSession, folder: str, most_items: int = MAX_ITEMS) -> DataFrame:
-    """One JSON event per order: `position` (the order key) and the text `value`.
-
-    An order beyond the contract's number of items is refused by its length alone,
-    so its lines are never gathered: the event carries just one item too many.
-    """
-    lines = _lines(spark, folder)
-    oversized = (
+def _oversized(lines: DataFrame, most_items: int) -> DataFrame:
+    return (
         lines.groupBy("l_orderkey")
         .agg(F.count("*").alias("n"))
         .filter(F.col("n") > most_items)
         .select("l_orderkey")
     )
-    ordered = F.sort_array(F.collect_list("line"))
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def oversized_orders(spark: SparkSession, folder: str, most_items: int = MAX_ITEMS) -> DataFrame:
+    """Orders that the door refuses by their number of items alone: `position`, `errors`."""
+    known = bridge.table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"))
+    reason = f"items: Array must contain at most {MAX_ITEMS} element(s)"
+    return _oversized(_lines(spark, folder), most_items).join(known, "l_orderkey", "left_semi").select(
+        F.col("l_orderkey").alias("position"), F.array(F.lit(reason)).alias("errors")
+    )
+
+
+def order_events(spark: SparkSession, folder: str, most_items: int = MAX_ITEMS) -> DataFrame:
+    """One JSON event per order: `position` (the order key) and the text `value`.
+
+    Orders beyond the contract's number of items are no events: `oversized_orders`
+    names them, and their lines are never gathered.
+    """
+    lines = _lines(spark, folder)
+    oversized = cut_lineage(_oversized(lines, most_items))
     items = (
         lines.join(oversized, "l_orderkey", "left_anti")
-        .repartition(tasks, "l_orderkey")
         .groupBy("l_orderkey")
-        .agg(F.transform(ordered, lambda entry: entry["item"]).alias("items"))
-    )
-    blank = F.struct(
-        F.lit("").alias("product_id"),
-        F.lit(1.0).alias("quantity"),
-        F.lit(0).cast("decimal(11,2)").alias("unit_price"),
+        .agg(F.transform(F.sort_array(F.collect_list("line")), lambda entry: entry["item"]).alias("items"))
     )
-    too_many = oversized.withColumn("items", F.array_repeat(blank, most_items + 1))
     headers = bridge.table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"),
         F.col("o_orderkey").cast("string").alias("order_id"),
@@ -96,20 +101,12 @@ def order_events(spark: SparkSession, folder: str, most_items: int = MAX_ITEMS)
         bridge.order_status().alias("status"),
         bridge.order_channel().alias("channel"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ordered_at"),
-    )
+    ).join(oversized, "l_orderkey", "left_anti")
     event = F.struct(
         "order_id", "customer_id", "status", "channel", "ordered_at",
         F.coalesce("items", F.array().cast(items.schema["items"].dataType)).alias("items"),
     )
-    # Grouping and join share one partitioning. Its fixed number of tasks also
-    # stays for the JSON work that follows, which costs far more per byte than a scan.
-    with_items = headers.repartition(tasks, "l_orderkey").join(
-        items.hint("merge"), "l_orderkey", "left"
-    )
-    with_all = with_items.join(
-        too_many.withColumnRenamed("items", "_too_many"), "l_orderkey", "left"
-    ).withColumn("items", F.coalesce("_too_many", "items"))
-    return with_all.select(
+    return headers.join(items, "l_orderkey", "left").select(
         F.col("l_orderkey").alias("position"), F.to_json(event).alias("value")
     )
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Collection
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators.shape import parse_events
 
-OVERLAP = "5 minutes"
+OVERLAP_MINUTES = 5
+OVERLAP = f"{OVERLAP_MINUTES} minutes"
 EPOCH = datetime(1970, 1, 1)
 
 
@@ -22,24 +24,18 @@ def _input_order() -> Column:
     )
 
 
-def has_quoted_newlines(spark: SparkSession, path: str) -> bool:
-    """True if some line holds an odd number of quotes, i.e. a field may span lines."""
-    quotes = F.length(F.regexp_replace("value", '[^"]', ""))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
-
-
-def read_reference(spark: SparkSession, path: str) -> DataFrame:
+def read_reference(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header; every column stays text. Adds `_order`, the input order.
 
-    Files without line breaks inside quotes are split over tasks. Others must be
-    parsed from their start, one task per file.
+    A field may hold line breaks, so a file is parsed from its start, in one task.
+    Pass `multi_line=False` for files known to hold none: they are split over tasks.
     """
     reader = (
         spark.read.option("header", True)
         .option("escape", '"')
         .option("enforceSchema", False)
         .option("encoding", "UTF-8")
-        .option("multiLine", has_quoted_newlines(spark, path))
+        .option("multiLine", multi_line)
     )
     rows = reader.csv(path)
     first = rows.columns[0]
@@ -57,10 +53,25 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 def read_since(landing: DataFrame, position: datetime | None, overlap: str = OVERLAP) -> DataFrame:
     """Documents ingested after the watermark minus the overlap.
 
-    The day condition prunes landing partitions, the instant is pushed to the files.
+    Both conditions are pushed to the files; `parts_since` chooses the parts to read.
     """
     start = F.lit(position or EPOCH).cast("timestamp") - F.expr(f"interval {overlap}")
     fresh = landing.filter(F.col("ingested_at") > start)
     if "ingested_date" in landing.columns:
         fresh = fresh.filter(F.col("ingested_date") >= F.to_date(start))
     return fresh
+
+
+def parts_since(
+    parts: Collection[str], position: datetime | None, overlap_minutes: int = OVERLAP_MINUTES
+) -> list[date]:
+    """Parts (first days, as text) that can hold documents ingested after the watermark
+    minus the overlap: the last one that begins before that moment, and all later ones."""
+    if position and position.tzinfo:
+        position = position.astimezone(timezone.utc).replace(tzinfo=None)
+    start = ""
+    if position and position > EPOCH:
+        start = str((position - timedelta(minutes=overlap_minutes)).date())
+    days = sorted(parts)
+    first = max([d for d in days if d <= start], default=start)
+    return [date.fromisoformat(d) for d in days if d >= first]

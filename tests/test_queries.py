@@ -43,19 +43,19 @@ def test_query(spark, engine, name):
         expected.fetchall(), columns, wanted)
 
 
-def test_oversized_orders_are_not_gathered(spark, engine):
-    """With a small limit, larger orders become events with just one item too many."""
-    from tallymart.sources.bridge_docs import order_events
+def test_oversized_orders_are_refused_by_count(spark, engine):
+    """With a lower limit: no event and no line of theirs, but a refusal each."""
+    from tallymart.sources.bridge_docs import order_events, oversized_orders
 
+    sizes = dict(engine.execute("""
+        SELECT o_orderkey, count(l_orderkey) FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+        GROUP BY 1""").fetchall())
     events = order_events(spark, FOLDER, most_items=3).selectExpr(
-        "json_array_length(get_json_object(value, '$.items')) AS n")
-    found = {r["n"]: r["count"] for r in events.groupBy("n").count().collect()}
-    expected = dict(engine.execute("""
-        SELECT least(n, 4), count(*) FROM (
-          SELECT o_orderkey, count(l_orderkey) AS n
-          FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1) GROUP BY 1
-    """).fetchall())
-    assert found == expected
+        "position", "json_array_length(get_json_object(value, '$.items')) AS n")
+    assert {r["position"]: r["n"] for r in events.collect()} == {k: n for k, n in sizes.items() if n <= 3}
+    refused = oversized_orders(spark, FOLDER, most_items=3).collect()
+    assert {r["position"] for r in refused} == {k for k, n in sizes.items() if n > 3}
+    assert {r["errors"][0] for r in refused} == {"items: Array must contain at most 200 element(s)"}
 
 
 def test_entry(spark):

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from tallymart import schemas
 from tallymart.operators.keyed import assign_keys
-from tallymart.operators.quality import DataQualityError
+from tallymart.operators.quality import FailedChecks
 from tallymart.plans import export as ex
 from tallymart.plans import marts, measures, reports
 from tallymart.plans.pipeline import Config, ingest_files, load_reference, run_all
 from tallymart.plans.star import describe_days
 from tallymart.plans.store import Rewrite, StaleSnapshot, Store
-from tallymart.sources.files import has_quoted_newlines, read_reference
+from tallymart.sources.files import parts_since, read_reference
 from tallymart.streaming.orders import stream_orders
 
 NOW = datetime(2026, 6, 1, 12, tzinfo=timezone.utc)
@@ -28,20 +28,21 @@ def event(order_id, customer, status, channel, at, *items):
         "items": [dict(product_id=p, quantity=q, unit_price=u) for p, q, u in items]})
 
 
+BACK = ("tea", 1, 3.5)
 EVENTS = [
-    event("O1", "C1", "delivered", "web", "2026-03-15T10:00:00Z", ("P1", 2, 5.0), ("P2", 1, 75.5)),
-    event("O2", "C2", "cancelled", "store", "2026-03-20T10:00:00Z", ("P1", 1, 5.0)),
-    event("O3", "C2", "delivered", "store", "2026-04-02T10:00:00Z", ("P2", 2, 80.0)),
+    event("north", "juri", "shipped", "mobile", "2025-11-28T08:30:00Z", ("kettle", 1, 45.0)),
+    event("south", "ida", "delivered", "store", "2025-12-01T17:45:00Z", ("kettle", 1, 40.0), ("tea", 3, 4.0)),
+    event("west", "ida", "returned", "web", "2025-12-03T23:59:00Z", BACK),
 ]
 
 
 def write_inputs(folder):
     (folder / "customers.csv").write_text(
         "customer_id,name,email,country,signup_date\n"
-        "C1,\"Ada, Countess\",ada@example.com,FR,2025-01-10\nC2,Bo,bo@example.com,MA,2025-02-11\n")
+        "ida,\"Moss, Ida\",ida@mail.test,NO,2024-05-06\njuri,Juri,juri@mail.test,EE,2024-06-07\n")
     (folder / "products.csv").write_text(
-        "product_id,name,category,unit_cost,list_price\nP1,Pen,Office,2.00,5.00\n"
-        "P2,Lamp,Home,30.00,80.00\n")
+        "product_id,name,category,unit_cost,list_price\nkettle,Kettle,Kitchen,20.00,45.00\n"
+        "tea,Green tea,Food,1.50,4.00\n")
     (folder / "events").mkdir()
     (folder / "events" / "a.json").write_text("\n".join(EVENTS) + "\n")
     return Config(str(folder / "base"), str(folder / "customers.csv"),
@@ -68,15 +69,15 @@ def test_export_and_reload(shop):
     star = store.snapshot().star()
     for _ in range(2):  # a second export replaces the first
         counts = ex.export(star, str(folder / "out"), "run1")
-    assert counts == {"dim_date": 19, "dim_customer": 2, "dim_product": 2, "fact_order_items": 4}
+    assert counts == {"dim_date": 6, "dim_customer": 2, "dim_product": 2, "fact_order_items": 4}
     text = "".join(p.read_text() for p in (folder / "out/run=run1/fact_order_items").glob("*.json"))
     first = json.loads(text.splitlines()[0])
-    assert (first["revenue"], first["order_date"]) == ("10.00", "2026-03-15")
+    assert (first["revenue"], first["order_date"]) == ("45.00", "2025-11-28")
     after = ex.load(store, str(folder / "out"), "run1", counts)
     copy = ex.loaded_star(after)
     assert [r[0] for r in rows(copy.fact_order_items.select("revenue"), "revenue")] == [
-        D("5.00"), D("10.00"), D("75.50"), D("160.00")]
-    assert set(after.parts("loaded_fact_order_items")) == {"2026-03-15", "2026-03-20", "2026-04-02"}
+        D("3.50"), D("12.00"), D("40.00"), D("45.00")]
+    assert set(after.parts("loaded_fact_order_items")) == {"2025-11-28", "2025-12-01", "2025-12-03"}
     for name, mart in marts.MARTS.items():
         assert rows(mart(copy), *mart(copy).columns[:3]) == rows(mart(star), *mart(star).columns[:3]), name
 
@@ -84,7 +85,7 @@ def test_export_and_reload(shop):
 def test_reload_reports_a_gap(shop):
     store, folder = shop
     counts = ex.export(store.snapshot().star(), str(folder / "gap"), "run1")
-    with pytest.raises(DataQualityError, match="loaded_rows_fact_order_items"):
+    with pytest.raises(FailedChecks, match="loaded_rows_fact_order_items"):
         ex.load(store, str(folder / "gap"), "run1", {**counts, "fact_order_items": 5})
 
 
@@ -113,9 +114,9 @@ def test_csv_snapshot(shop, spark):
     store, folder = shop
     ex.export_csv(store.snapshot().star(), str(folder / "csv"))
     back = read_reference(spark, str(folder / "csv/dim_customer"))
-    assert ("1", "C1", "Ada, Countess", "FR", "2025-01-10") in rows(back.drop("_order"), "customer_id")
+    assert ("1", "ida", "Moss, Ida", "NO", "2024-05-06") in rows(back.drop("_order"), "customer_id")
     days = read_reference(spark, str(folder / "csv/dim_date"))
-    assert days.filter("year_month = '2026-03'").count() == 17
+    assert days.filter("year_month = '2025-12'").count() == 3
 
 
 def test_missing_target():
@@ -126,7 +127,7 @@ def test_missing_target():
 def test_monthly(shop):
     store, _ = shop
     assert rows(reports.report_monthly_revenue(store.snapshot().table("monthly_revenue")), "year_month") == [
-        ("2026-03", 1, 3, 85.5, 51.5, 60.23), ("2026-04", 1, 2, 160.0, 100.0, 62.5)]
+        ("2025-11", 1, 1, 45.0, 25.0, 55.56), ("2025-12", 1, 4, 52.0, 27.5, 52.88)]
 
 
 @pytest.mark.parametrize("limit", [0, 101, "abc", 2.5, True])
@@ -138,28 +139,28 @@ def test_top_products_limit(limit):
 def test_measures(shop):
     star = shop[0].snapshot().star()
     total = measures.measure(star, list(measures.NEEDS)).first()
-    assert total["Revenue"] == D("245.50") and total["Orders"] == 2
-    assert total["Return Rate"] == 0.0 and total["Customers"] == 2
+    assert total["Revenue"] == D("97.00") and total["Orders"] == 2
+    assert total["Return Rate"] == 1 / 3 and total["Customers"] == 2
     by_month = rows(measures.measure(
         star, ["Revenue", "Daily Revenue", "Revenue Previous Month"], ["dim_date.year_month"]), "year_month")
-    assert by_month[0][:2] == ("2026-03", D("85.50")) and by_month[0][2] == 85.5 / 17
-    # April is partial: each of its days moves back to a March day of the calendar
-    assert by_month[1] == ("2026-04", D("160.00"), 80.0, None)
+    assert by_month[0][:2] == ("2025-11", D("45.00")) and by_month[0][2] == 15.0
+    # Days move back by a month each; the calendar holds none of 1 to 3 November.
+    assert by_month[1] == ("2025-12", D("52.00"), 52 / 3, None)
     with pytest.raises(ValueError):
         measures.measure(star, ["Revenue"], ["fact_order_items.status"])
     returned = measures.measure(star, ["Return Rate"], ["fact_order_items.status"])
-    assert {r.status: r["Return Rate"] for r in returned.collect()} == {"delivered": 0.0, "cancelled": 0.0}
-    web = measures.measure(star, ["Revenue", "Customers"],
-                           where={"fact_order_items.channel": lambda c: c == "web"}).first()
-    assert (web["Revenue"], web["Customers"]) == (D("85.50"), 2)
-    france = measures.measure(star, ["Customers"], where={"dim_customer.country": lambda c: c == "FR"})
-    assert france.first()["Customers"] == 1
+    assert {r.status: r["Return Rate"] for r in returned.collect()} == {"shipped": 0.0, "delivered": 0.0, "returned": 1.0}
+    mobile = measures.measure(star, ["Revenue", "Customers"],
+                              where={"fact_order_items.channel": lambda c: c == "mobile"}).first()
+    assert (mobile["Revenue"], mobile["Customers"]) == (D("45.00"), 2)
+    norway = measures.measure(star, ["Customers"], where={"dim_customer.country": lambda c: c == "NO"})
+    assert norway.first()["Customers"] == 1
 
 
 def test_blank_measure_is_null(shop):
     star = shop[0].snapshot().star()
     none = measures.measure(star, ["Margin %", "Revenue"],
-                            where={"fact_order_items.channel": lambda c: c == "fax"}).first()
+                            where={"fact_order_items.channel": lambda c: c == "pigeon"}).first()
     assert none["Margin %"] is None and none["Revenue"] is None
 
 
@@ -177,10 +178,10 @@ def test_stream_equals_batch(shop, spark, tmp_path):
             batch, "order_id", batch.columns[1])
     version = store.snapshot().version
     (tmp_path / "events" / "b.json").write_text(
-        event("O2", "C2", "delivered", "store", "2026-03-20T10:00:00Z", ("P1", 1, 5.0)))
+        event("west", "ida", "delivered", "web", "2025-12-03T23:59:00Z", BACK))
     stream_orders(store, config, str(tmp_path / "events"), str(tmp_path / "progress")).awaitTermination()
     assert store.snapshot().version > version
-    assert store.snapshot().table("orders").filter("order_id = 'O2'").first().status == "delivered"
+    assert store.snapshot().table("orders").filter("order_id = 'west'").first().status == "delivered"
 
 
 def test_failed_run_leaves_the_old_version(shop):
@@ -228,7 +229,6 @@ def test_segment_rule(spark):
 def test_quoted_newlines_and_short_rows(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,name,note\n1,"two\nlines","say ""hi"""\n2,short\n', encoding="utf-8-sig")
     path = str(tmp_path / "a.csv")
-    assert has_quoted_newlines(spark, path)
     assert rows(read_reference(spark, path).drop("_order"), "id") == [
         ("1", "two\nlines", 'say "hi"'), ("2", "short", None)]
 
@@ -236,10 +236,46 @@ def test_quoted_newlines_and_short_rows(spark, tmp_path):
 def test_last_valid_row_wins_and_rejection_stays(spark, tmp_path):
     config = write_inputs(tmp_path)
     with open(config.customers, "a") as handle:
-        handle.write("C1,Ada II,ada2@example.com,FR,2025-01-10\nC1,,bad,FR,2025-01-10\n")
+        handle.write("ida,Ida Fjord,fjord@mail.test,NO,2024-05-06\nida,,bad,NO,2024-05-06\n")
     store = Store(spark, config.base)
     store.init()
     assert load_reference(store, config) == {"customers": 2, "products": 2, "rejected": 1}
     snap = store.snapshot()
-    assert snap.table("customers").filter("customer_id = 'C1'").first().name == "Ada II"
+    assert snap.table("customers").filter("customer_id = 'ida'").first().name == "Ida Fjord"
     assert snap.table("rejected_records").first().reasons == ["name is required", "email is not valid"]
+
+
+def test_parts_since_the_watermark():
+    parts = ["2026-01-01", "2026-02-01", "2026-03-01"]
+    days = [date.fromisoformat(p) for p in parts]
+    assert parts_since(parts, None) == days
+    assert parts_since(parts, datetime(2026, 2, 20)) == days[1:]
+    assert parts_since(parts, datetime(2026, 3, 1, 0, 4)) == days[1:]  # the overlap reaches back
+    assert parts_since(parts, datetime(2026, 3, 1, 0, 6)) == days[2:]
+    assert parts_since(parts, datetime(2025, 5, 5)) == days
+    assert parts_since([], datetime(2025, 5, 5)) == []
+
+
+def test_two_streams_and_a_new_checkpoint(spark, tmp_path):
+    """Every stream counts its own batches; refused lines are kept."""
+    config = write_inputs(tmp_path)
+    store = Store(spark, config.base)
+    store.init()
+    load_reference(store, config)
+
+    def run(folder, checkpoint):
+        stream_orders(store, config, str(tmp_path / folder), str(tmp_path / checkpoint)).awaitTermination()
+        return {r.order_id for r in store.snapshot().table("orders").collect()}
+
+    assert run("events", "one") == {"north", "south", "west"}
+    (tmp_path / "more").mkdir()
+    more = event("east", "juri", "placed", "web", "2025-12-02T00:00:00Z", BACK)
+    (tmp_path / "more" / "a.json").write_text(more + "\n{broken\n")
+    assert run("more", "two") == {"north", "south", "west", "east"}
+    refused = store.snapshot().table("refused_events").collect()
+    assert [(r.errors, r.text) for r in refused] == [(["Body is not valid JSON"], "{broken")]
+    later = event("east", "juri", "shipped", "web", "2025-12-02T00:00:00Z", BACK)
+    (tmp_path / "more" / "a.json").unlink()
+    (tmp_path / "more" / "b.json").write_text(later)
+    run("more", "three")  # a new checkpoint starts at batch 0 again
+    assert store.snapshot().table("orders").filter("order_id = 'east'").first().status == "shipped"
