@@ -32,6 +32,7 @@ HEADLINE = [
     "upsert_orders",
     "replace_children",
     "order_rejections",
+    "export_reload",
     "pipeline_monthly_revenue",
 ]
 

@@ -353,6 +353,18 @@ O["shape_check"] = """
   SELECT 'order_id: Required; customer_id: Required; status: Required; channel: Required; '
       || 'ordered_at: Required; items: Required; order: Unrecognized key(s) in object: '
       || '''k''', count(*) FROM events"""
+O["order_value_rejections"] = """
+  SELECT concat_ws('; ', CASE WHEN o_orderkey % 3 = 0 THEN 'unknown status lost' END,
+           CASE WHEN o_orderkey % 5 = 0 THEN 'unknown channel (empty)' END,
+           CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'ordered_at is not a valid timestamp' END,
+           'item 1: not an object') AS reasons,
+         CASE WHEN o_orderkey % 3 = 0 THEN 'lost' ELSE ' Placed ' END AS sent_status, count(*) AS orders
+  FROM orders GROUP BY 1, 2"""
+O["refused_events"] = """
+  SELECT event_id AS position, 'order_id: Required; customer_id: Required; status: Required; channel: Required; '
+      || 'ordered_at: Required; items: Required; order: Unrecognized key(s) in object: ''k''' AS errors,
+    props AS text FROM events
+  UNION ALL SELECT -o_orderkey, 'Body is not valid JSON', '{' || o_orderkey FROM orders"""
 O["landing_latest"] = f"""
   SELECT CAST(user_id AS VARCHAR) AS order_id, arg_max(props, ts) AS doc,
          {STAMP.format('max(ts)')} AS ingested_at, {STAMP.format('min(ts)')} AS first_seen_at

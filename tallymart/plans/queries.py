@@ -22,7 +22,7 @@ from tallymart.operators.ranking import global_index, global_ntiles, global_rank
 from tallymart.plans import export as ex
 from tallymart.plans import marts, measures, reports
 from tallymart.plans.pipeline import (
-    Config, check_quality, ingest_files, load_orders, load_reference, refresh_marts, watermark,
+    Config, check_quality, ingest, ingest_files, load_orders, load_reference, refresh_marts, watermark,
 )
 from tallymart.plans.star import Star, calendar
 from tallymart.plans.store import Store
@@ -584,6 +584,41 @@ def csv_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def order_value_rejections(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with unknown words, times that are none and items that are no objects."""
+    key = F.col("o_orderkey")
+    sent = bridge.table(spark, folder, "orders").select(F.to_json(F.struct(
+        key.cast("string").alias("order_id"), F.col("o_custkey").cast("string").alias("customer_id"),
+        F.when(key % 3 == 0, "lost").otherwise(" Placed ").alias("status"),
+        F.when(key % 5 == 0, "").otherwise("WEB").alias("channel"),
+        F.when(key % 7 == 0, "soon").when(key % 11 == 0, "2000-02-30T00:00:00Z")
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("ordered_at"),
+        F.array(key % 2).alias("items"))).alias("value"))
+    people = bridge.table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"))
+    judged = validate.validate_order(
+        shape.parse_events(sent).drop("value"), people, docs.known_products(spark, folder), docs.NOW)
+    return judged.select(
+        F.filter("reasons", lambda r: r != "ordered_at is in the future").alias("reasons"),
+        F.get_json_object("payload", "$.status").alias("sent_status"),
+    ).groupBy("reasons", "sent_status").agg(F.count("*").alias("orders"))
+
+
+@query
+def refused_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Loose properties and broken texts at the door: kept with their reasons and texts."""
+    loose = bridge.table(spark, folder, "events").select(
+        F.col("event_id").alias("position"), F.col("props").alias("value"))
+    broken = bridge.table(spark, folder, "orders").select(
+        (-F.col("o_orderkey")).alias("position"), F.concat(F.lit("{"), F.col("o_orderkey")).alias("value"))
+    store = Store(spark, f"{scratch(spark)}/door")
+    store.init()
+    ingest(store, shape.parse_events(loose.unionByName(broken)), datetime.fromisoformat(docs.NOW))
+    return store.snapshot().table("refused_events").select(
+        F.col("position").cast("bigint").alias("position"), "errors", "text")
+
+
 _RUNS: dict[tuple[str, str], Store] = {}
 
 
