@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Callable
 
-CACHE = 300_000  # pieces a worker remembers before it starts anew; only speed depends on it
+GENERATION = 600_000  # pieces a worker remembers before it drops the older half; only speed depends on it
 END_ID = 1
+MARKS = ".,;:!?"
 
 
 def byte_bpe_path() -> str:
@@ -33,6 +35,29 @@ def pieces(text: str) -> list[str]:
     return out
 
 
+class _Known(dict):
+    """Pieces and their ids in two generations: what is still used outlives the older one."""
+
+    def __init__(self, encode: Callable[[str], bytes], marks: _Known | None = None):
+        super().__init__()
+        self.encode, self.older, self.marks = encode, {}, self if marks is None else marks
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= GENERATION:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(piece)
+        if found is None:
+            # A run of marks after a letter is always a piece of its own.
+            word = piece.rstrip(MARKS)
+            if word != piece and word[-1:].isalpha():
+                found = self[word] + self.marks[piece[len(word):]]
+            else:
+                found = self.encode(piece)
+        self[piece] = found
+        return found
+
+
 class Ids:
     """Text to the bytes of its ids (`width` bytes each, little-endian)."""
 
@@ -45,7 +70,10 @@ class Ids:
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
-        self.known: dict[str, bytes] = {}
+        self.kind = "H" if self.width == 2 else "I"
+        self.first = _Known(self._encode)
+        self.spaced = _Known(lambda word: self._encode(" " + word), self.first)
+        self.line = self._encode("\n")
 
     @classmethod
     def at(cls, path: str) -> Ids:
@@ -53,19 +81,19 @@ class Ids:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [pieces(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        known = self.known
-        new = list({p for c in cut for p in c if p not in known})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for piece, found in zip(part, self._encode(part), strict=True):
-                known[piece] = b"".join(i.to_bytes(self.width, "little") for i in found.ids)
-        look: Callable = known.__getitem__
-        return [b"".join(map(look, c)) for c in cut]
-
-    def _encode(self, part: list[str]):
-        batch = getattr(self.model, "encode_batch_fast", self.model.encode_batch)
-        return batch(part, add_special_tokens=False)
+    def _encode(self, piece: str) -> bytes:
+        return array(self.kind, self.model.encode(piece, add_special_tokens=False).ids).tobytes()
+
+    def encode(self, text: str) -> bytes:
+        out = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            # Printable: no white space but spaces. No empty word: every space stands alone
+            # between two words, and the line break between two lines stands alone as well.
+            if "" in words or not line.isprintable():
+                look = self.first.__getitem__
+                return b"".join(map(look, pieces(text)))
+            out.append(self.line)
+            out.append(self.first[words[0]])
+            out.extend(map(self.spaced.__getitem__, words[1:]))
+        return b"".join(out[1:])
