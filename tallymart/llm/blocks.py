@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tallymart.session import checkpoint_folder, cut_lineage
 
 BLOCK_BYTES = 6 << 20
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 17  # so that the arrays of a chunk stay in a cache
 BUCKET_BYTES = 16 << 20
 FILES = 50_000  # bucket files at most; more blocks than that share files
 HOT_BLOCKS = 64  # anchors in more blocks than this are resolved window by window
@@ -183,14 +183,17 @@ ANSWER_ARROW = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("bucket"
 SHARED, HOT = 0, 1
 
 
-def find_shared(blocks: DataFrame, anchors: Callable[[Block], Runs], buckets: int) -> DataFrame:
-    """Answers per block (see ANSWER): which of its anchors lie in several documents, which are hot."""
+def find_shared(blocks: DataFrame, anchors: Callable[[Block], Runs], buckets: int,
+                levels: dict[int, int] | None = None) -> DataFrame:
+    """Answers per block (see ANSWER): which of its anchors lie in several documents, and
+    which lie in more blocks than a level says (kind of the answer to level; HOT by default)."""
+    levels = {HOT: HOT_BLOCKS} if levels is None else levels
 
     def send(rows: pa.Table) -> pa.Table:
         block = Block(rows)
         runs = anchors(block)
         # Per distinct hash the first and the last document of the block that holds it.
-        order = np.lexsort((runs.doc, runs.hash))
+        order = np.argsort(runs.hash, kind="stable")  # runs come in the order of documents
         hashes, docs = runs.hash[order], block.ids[runs.doc[order]]
         first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else order
         last = np.append(first[1:], len(hashes)) - 1 if len(hashes) else order
@@ -213,13 +216,14 @@ def find_shared(blocks: DataFrame, anchors: Callable[[Block], Runs], buckets: in
         first = np.flatnonzero(np.append(True, sorted_[1:] != sorted_[:-1]))
         held = np.diff(np.append(first, len(sorted_)))  # blocks that hold the hash
         shared = (held > 1) | (np.add.reduceat(several[order].astype(np.int64), first) > 0)
-        flags = np.empty((2, len(hashes)), bool)
+        flags = {kind: np.empty(len(hashes), bool) for kind in (SHARED, *levels)}
         flags[SHARED][order] = np.repeat(shared, held)
-        flags[HOT][order] = np.repeat(held > HOT_BLOCKS, held)
+        for kind, level in levels.items():
+            flags[kind][order] = np.repeat(held > level, held)
         cut = np.cumsum([0, *map(len, each)])
         bucket = rows.column("bucket")[0].as_py()
         out = [(owner[i], kind, bucket, len(each[i]), np.packbits(flags[kind][cut[i]:cut[i + 1]]).tobytes())
-               for i in range(len(each)) for kind in (SHARED, HOT)]
+               for i in range(len(each)) for kind in flags]
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(
             zip(*out, strict=True), ANSWER_ARROW, strict=True)], schema=ANSWER_ARROW)
 

@@ -1,19 +1,21 @@
 """Similarity join on word 5-grams by vertical partitioning.
 
 1. Documents become sets of hashed 5-grams. Blocks learn which of their hashes
-   occur in a second document (`blocks.find_shared`). A document with Jaccard 0.8
-   to another shares at least four fifths of its set; all others are done.
+   occur in a second document, and roughly in how many blocks (`blocks.find_shared`).
+   A document with Jaccard 0.8 to another shares at least four fifths of its set;
+   all others are done.
 2. The remaining documents with one set form one node. A node's set is cut along
-   the global order of hashes into `FRAGMENTS` fragments; pairs are counted
-   fragment by fragment (`array_intersect`) and the partial overlaps are summed.
-3. Candidates come from prefixes: two sets with Jaccard 0.8 share one of the
-   n - ceil(0.8 n) + 1 first hashes of each, at places that leave room for the
-   overlap they need. Nodes that share such a hash are a group; a group is not
-   expanded into pairs. Its smallest node, the pivot, is compared with all others
-   of a different component and leaves the group; groups with one component are
-   done. Rounds go on until no group is left, or until the pairs of different
-   components that remain are few enough to be compared at once. Every pair that
-   could link two components is compared, so components are exact.
+   the order of hashes into `FRAGMENTS` fragments; pairs are counted fragment by
+   fragment (`array_intersect`) and the partial overlaps are summed.
+3. Candidates come from prefixes: with the grams of all sets in one order, rare
+   ones first, two sets with Jaccard 0.8 share one of the n - ceil(0.8 n) + 1 first
+   grams of each, at places that leave room for the overlap they need. Nodes that
+   share such a gram are a group; a group is not expanded into pairs. Its pivot, the
+   node with the fewest rarer grams and so the nearest to what the group has in
+   common, is compared with all others of a different component and leaves the group; groups with one component are done. After `ROUNDS` of that, or as many
+   as it takes, the pairs of different components whose sizes and places still leave
+   room are few, and are compared at once. Every pair that could link two components
+   is compared, so components are exact.
 
 Defined cases: null or blank text has no grams, is linked with nothing and is its
 own component; with fewer than five words the whole sequence is one gram; a null
@@ -38,7 +40,10 @@ from tallymart.session import cut_lineage
 GRAM = 5
 PERCENT = 80
 FRAGMENTS = 4
-FEW = 4  # pairs per node that may be compared at once
+FEW = 8  # pairs per node that may be compared at once
+ROUNDS = 1  # of pivots at least
+LEAST_TASKS = 8
+LEVELS = {10: 2, 11: 4, 12: 8, 13: 16, 14: 32, 15: 64}  # answer kind to blocks: how frequent a gram is
 
 
 class _Hashes(dict):
@@ -77,6 +82,16 @@ def _sets(block: B.Block, gram: int) -> tuple[list[np.ndarray], B.Runs]:
     return sets, B.Runs(doc, np.zeros(len(flat), np.int64), np.ones(len(flat), np.int64), flat)
 
 
+def _frequencies(runs: B.Runs, marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Per gram of a block whether it is shared, and how many levels it exceeds."""
+    hashes, place = np.unique(runs.hash, return_inverse=True)
+    if not len(hashes):
+        return np.zeros(0, bool), np.zeros(0, np.int64)
+    shared = B.bits_of(marks, B.SHARED)
+    above = shared.astype(np.int64) + sum(B.bits_of(marks, kind) for kind in LEVELS)
+    return shared[place], above[place]
+
+
 def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -94,26 +109,28 @@ def describe(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataF
     """Per document its set size and node; prefix and fragments for one document of each
     candidate set of a block."""
     blocks, layout = B.write_blocks(docs)
-    shared = B.find_shared(blocks, lambda block: _sets(block, gram)[1], layout.buckets(0.6))
+    shared = B.find_shared(blocks, lambda block: _sets(block, gram)[1], layout.buckets(0.6), LEVELS)
 
     def run(rows: pa.Table, marks: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table({"doc_id": [], "n": [], "node": [], "prefix": [], "parts": []})
         block = B.Block(rows)
         sets, runs = _sets(block, gram)
-        common, _ = B.flagged(runs, marks)
+        common, rarity = _frequencies(runs, marks)
+        cut = np.cumsum([0, *map(len, sets)])
         held = np.bincount(runs.doc, common, len(sets)).astype(np.int64)
         edges = B.bounds(FRAGMENTS)
         nodes, seen, prefix, parts, empty = [], set(), [], [], np.zeros(0, np.uint64)
         candidate = []
-        for s, k in zip(sets, held.tolist(), strict=True):
+        for i, (s, k) in enumerate(zip(sets, held.tolist(), strict=True)):
             node = np.uint64(xxhash.xxh3_64_intdigest(s.tobytes())).view(np.int64) if len(s) else None
             keep = len(s) > 0 and 100 * k >= percent * len(s) and node not in seen
             if keep:
                 seen.add(node)
             nodes.append(None if node is None else int(node))
             candidate.append(keep)
-            prefix.append(s[:_prefix(len(s), percent)] if keep else empty)
+            first = np.argsort(rarity[cut[i]:cut[i + 1]], kind="stable")[:_prefix(len(s), percent)]
+            prefix.append(s[first] if keep else empty)
             cuts = np.searchsorted(s, edges) if keep else []
             parts += np.split(s, cuts) if keep else []
         groups = np.cumsum([0, *[FRAGMENTS if c else 0 for c in candidate]]).astype(np.int32)
@@ -149,29 +166,40 @@ def verify(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return overlap.where(100 * F.col("common") >= percent * union).select("a", "b")
 
 
+def _digest(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for all nodes of the links (a, b); a component is its smallest node.
 
-    Alternates large-star and small-star steps until the links form stars.
+    Alternates large-star and small-star steps until the links form stars. The tables
+    joined on a node are written, so that a node with very many links can be split.
     """
-    edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                        .where("u <> v").distinct())
+    links = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"))
+    # Two numbers a row: a task for every half million, however many the session has.
+    tasks = max(LEAST_TASKS, links.count() // 500_000)
+
+    def written(df: DataFrame) -> DataFrame:
+        return cut_lineage(df.coalesce(tasks))
+
+    edges = written(links.distinct())
+    before = _digest(edges)
     while True:
-        both = cut_lineage(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select(
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = written(both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("u", "m").alias("m")))
-        large = cut_lineage(both.where("v > u").join(least, "u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
-        joined = large.join(least, "u")
-        small = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))).distinct()
-        small = cut_lineage(small)
-        same = small.count() == edges.count() and small.join(edges, ["u", "v"], "left_anti").isEmpty()
-        edges = small
-        if same:
+        large = written(both.where("v > u").join(least, "u").select(
+            F.col("v").alias("u"), F.col("m").alias("v")))
+        least = written(large.groupBy("u").agg(F.min("v").alias("m")))
+        edges = written(large.join(least, "u").where("v <> m").select(
+            F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
+            least.select("u", F.col("m").alias("v"))).distinct())
+        after = _digest(edges)
+        if after == before:
             break
-    return cut_lineage(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+        before = after
+    return written(edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
 
 
@@ -182,45 +210,59 @@ def _labelled(members: DataFrame, labels: DataFrame | None) -> DataFrame:
         "c", F.coalesce("component", "node")).drop("component")
 
 
+def _roomy(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, na, nb) of different components that meet in a group with room enough.
+
+    Of such a pair one node stands within (100 - p) / (100 + p) of its order, and the
+    sizes lie in neighbouring bands, which the join uses as keys.
+    """
+    band = F.floor(F.log(F.col("n")) / F.log(F.lit(101.0 / percent))).cast("int")
+    light = members.where((100 + percent) * F.col("at") <= (100 - percent) * F.col("n"))
+    x = light.select("*", F.explode(F.array(band - 1, band, band + 1)).alias("band")).alias("x")
+    y = members.select(*[F.col(c).alias(c) for c in members.columns], band.alias("band")).alias("y")
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.band") == F.col("y.band"))
+                 & (F.col("x.c") != F.col("y.c")) & _room("x", "y", percent))
+    swap = F.col("x.node") < F.col("y.node")
+    return met.select(
+        F.when(swap, F.col("x.node")).otherwise(F.col("y.node")).alias("a"),
+        F.when(swap, F.col("y.node")).otherwise(F.col("x.node")).alias("b"),
+        F.when(swap, F.col("x.n")).otherwise(F.col("y.n")).alias("na"),
+        F.when(swap, F.col("y.n")).otherwise(F.col("x.n")).alias("nb")).distinct()
+
+
 def link_nodes(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(node, component) for every node (node, n, prefix, parts) that is linked with another."""
     parts = cut_lineage(nodes.select("node", F.posexplode("parts").alias("fragment", "grams")))
     total = max(1, nodes.count())
     first = cut_lineage(nodes.select("node", "n", F.posexplode("prefix").alias("at", "gram")))
     several = cut_lineage(first.groupBy("gram").agg(F.count("*").alias("held")).where("held > 1").select("gram"))
-    groups = cut_lineage(first.join(several, "gram"))
-    links, labels, last = None, None, False
-    while not groups.isEmpty():
+    groups = first.join(several, "gram")
+    labels, last, turn = None, False, 0
+    while not last:
         members = cut_lineage(_labelled(groups, labels))
         # One row per group: its pivot, and whether components differ.
         pivots = cut_lineage(members.groupBy("gram").agg(
-            F.min(F.struct("node", "n", "at", "c")).alias("p"), F.min("c").alias("low"),
+            F.min(F.struct("at", "n", "node", "c")).alias("p"), F.min("c").alias("low"),
             F.max("c").alias("high")).where("low <> high").select("gram", "p"))
         if pivots.isEmpty():
             break
-        each = members.groupBy("gram", "c").agg(F.count("*").alias("m")).groupBy("gram").agg(
-            F.sum("m").alias("s"), F.sum(F.col("m") * F.col("m")).alias("q"))
-        open_ = each.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()[0] or 0
-        last = open_ <= FEW * total
-        x = members.alias("x")
+        last = turn >= ROUNDS and _roomy(members, percent).count() <= FEW * total
+        turn += 1
         if last:
-            y = members.select(*[F.col(c).alias(c) for c in members.columns]).alias("y")
-            met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") < F.col("y.c")))
+            pairs = _roomy(members, percent)
         else:
-            y = pivots.select("gram", "p.*").alias("y")
-            met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") != F.col("y.c")))
-        pairs = met.where(_room("x", "y", percent)).select(
-            F.col("y.node").alias("a"), F.col("x.node").alias("b"),
-            F.col("y.n").alias("na"), F.col("x.n").alias("nb")).distinct()
-        found = verify(cut_lineage(pairs), parts, percent)
-        known = found if labels is None else found.unionByName(
-            labels.select(F.col("component").alias("a"), F.col("node").alias("b")))
-        links = cut_lineage(known)
-        labels = components(links)
-        if last:
-            break
-        rest = members.join(pivots.select("gram", F.col("p.node").alias("pivot")), "gram")
-        groups = cut_lineage(rest.where("node <> pivot").select("node", "n", "at", "gram"))
+            x, y = members.alias("x"), pivots.select("gram", "p.*").alias("y")
+            pairs = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.c") != F.col("y.c"))
+                           & _room("x", "y", percent)).select(
+                F.col("y.node").alias("a"), F.col("x.node").alias("b"),
+                F.col("y.n").alias("na"), F.col("x.n").alias("nb")).distinct()
+            rest = members.drop("c").join(pivots.select("gram", F.col("p.node").alias("pivot")), "gram")
+            groups = rest.where("node <> pivot").drop("pivot")
+        found = cut_lineage(verify(cut_lineage(pairs), parts, percent))
+        if not found.isEmpty():
+            known = found if labels is None else found.unionByName(
+                labels.select(F.col("component").alias("a"), F.col("node").alias("b")))
+            labels = components(known)
     if labels is None:
         return nodes.sparkSession.createDataFrame([], "node long, component long")
     return labels

@@ -146,11 +146,25 @@ def test_held_out_accuracy(spark):
 
 @pytest.mark.parametrize("few", [0, 4])
 def test_components(docs, few, monkeypatch):
-    monkeypatch.setattr(ngram_join, "FEW", few)  # 0: pivots only
+    monkeypatch.setattr(ngram_join, "FEW", few)  # 0: pivots until nothing is left
+    monkeypatch.setattr(ngram_join, "ROUNDS", few // 4)
     found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.label(docs).collect()}
     assert found == brute.components(DOCS)
 
 
+def test_components_of_chains(spark):
+    rng = random.Random(10)
+    links = [(k, k + 1) for k in range(100, 160)] + [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(40)]
+    root = {x: x for pair in links for x in pair}
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    rng.shuffle(links)
+    found = ngram_join.components(spark.createDataFrame(links, "a long, b long")).collect()
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert {r["node"]: r["component"] for r in found} == {x: root[x] for x in linked}
+
+
 def test_components_of_repeated_rows(docs):
     expected = brute.components(DOCS)
     rows = ngram_join.label(twice(docs)).collect()
