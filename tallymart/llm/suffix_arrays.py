@@ -38,6 +38,7 @@ from tallymart.session import cut_lineage
 WINDOW = 50
 SEED = 24
 SHARD_BYTES = 6 << 20
+PIECES = 4  # a shard's suffix arrays, built one after another to bound a task's memory
 SEGMENTS = 0.7  # expected bytes of segments per byte of text; only sizes shards
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 RESULT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
@@ -69,10 +70,10 @@ class _Segments:
     def __init__(self, block: B.Block, marks: pa.Table, window: int, shards: int):
         runs = _anchors(block, window)
         shared, hot = B.flagged(runs, marks)
-        place = np.searchsorted(B.bounds(shards), runs.hash, side="right")
+        place = np.searchsorted(B.bounds(shards * PIECES), runs.hash, side="right")
         self.window = window
         self.of_run: list[tuple] = []  # (document, first window, content, hot)
-        self.shard_of: dict[bytes, int] = {}
+        self.piece_of: dict[bytes, int] = {}  # shards * PIECES pieces, PIECES neighbours a shard
         self.least: dict[bytes, int] = {}  # content to the smallest id of the block
         cut: set[bytes] = set()
         for i in np.flatnonzero(shared).tolist():
@@ -87,16 +88,16 @@ class _Segments:
                 for k in range(len(content) - window + 1):
                     part = content[k:k + window]
                     if part not in self.least:
-                        self._add(part, own, xxhash.xxh3_64_intdigest(part) % shards)
+                        self._add(part, own, xxhash.xxh3_64_intdigest(part) % (shards * PIECES))
 
-    def _add(self, content: bytes, own: int, shard: int) -> None:
+    def _add(self, content: bytes, own: int, piece: int) -> None:
         if content not in self.least:
-            self.least[content], self.shard_of[content] = own, shard
+            self.least[content], self.piece_of[content] = own, piece
 
     def by_shard(self) -> dict[int, list[bytes]]:
         out: dict[int, list[bytes]] = {}
-        for content, shard in self.shard_of.items():
-            out.setdefault(shard, []).append(content)
+        for content, piece in self.piece_of.items():
+            out.setdefault(piece // PIECES, []).append(content)
         return out
 
 
@@ -127,48 +128,58 @@ def least_ids(segments: list[bytes], ids: np.ndarray, window: int) -> tuple[np.n
     return out, begin
 
 
+def _stretches(segments: list[bytes], own: np.ndarray, window: int) -> list[tuple | None]:
+    """Per segment the stretches of windows with one smallest id: where each begins and the
+    id; None where no window has a smaller one than the segment's own."""
+    place: dict[bytes, int] = {}
+    which = np.fromiter((place.setdefault(s, len(place)) for s in segments), np.int64, len(segments))
+    smallest = np.full(len(place), B.NO_ID)
+    np.minimum.at(smallest, which, own)
+    distinct = list(place)
+    least, begin = least_ids(distinct, smallest, window)
+    size = np.array([len(s) for s in distinct], dtype=np.int64) - window + 1
+    new = np.zeros(len(least), bool)
+    new[1:] = least[1:] != least[:-1]
+    new[begin] = True
+    edges = np.flatnonzero(new)
+    lo, hi = np.searchsorted(edges, begin), np.searchsorted(edges, begin + size)
+    out = []
+    for s, mine in zip(which.tolist(), own.tolist(), strict=True):
+        e = edges[lo[s]:hi[s]]
+        alone = len(e) == 1 and least[e[0]] == mine
+        out.append(None if alone else (e - begin[s], least[e]))
+    return out
+
+
 def _resolve(window: int):
     def run(rows: pa.Table) -> pa.Table:
-        shipped, lens, ids = [], [], []
-        for data, length, own in zip(rows.column("data").to_pylist(), rows.column("lens").to_pylist(),
-                                     rows.column("ids").to_pylist(), strict=True):
+        shipped, lens, ids, pieces = [], [], [], []
+        for data, length, own, piece in zip(*[rows.column(c).to_pylist() for c in (
+                "data", "lens", "ids", "pieces")], strict=True):
             sizes = np.frombuffer(length, np.uint32)
             lens.append(len(sizes))
             ids.append(B.unplanes(own, np.int64))
+            pieces.append(np.frombuffer(piece, np.uint8))
             at = 0
             for size in sizes.tolist():
                 shipped.append(data[at:at + size])
                 at += size
-        place: dict[bytes, int] = {}
-        which = np.fromiter((place.setdefault(s, len(place)) for s in shipped), np.int64, len(shipped))
-        own = np.concatenate(ids)
-        smallest = np.full(len(place), B.NO_ID)
-        np.minimum.at(smallest, which, own)
-        distinct = list(place)
-        least, begin = least_ids(distinct, smallest, window)
-        # Per distinct segment the stretches of windows with one smallest id.
-        size = np.array([len(s) for s in distinct], dtype=np.int64) - window + 1
-        new = np.zeros(len(least), bool)
-        new[1:] = least[1:] != least[:-1]
-        new[begin] = True
-        edges = np.flatnonzero(new)
-        lo, hi = np.searchsorted(edges, begin), np.searchsorted(edges, begin + size)
-        cut, block, out = np.cumsum([0, *lens]), rows.column("block").to_pylist(), []
-        for r in range(len(block)):
-            counts, starts, values = [], [], []
-            for k in range(cut[r], cut[r + 1]):
-                s = which[k]
-                e = edges[lo[s]:hi[s]]
-                if len(e) == 1 and least[e[0]] == own[k]:
-                    counts.append(0)  # nothing smaller anywhere
-                    continue
-                counts.append(len(e))
-                starts.append(e - begin[s])
-                values.append(least[e])
-            none = [np.zeros(0, np.int64)]
-            out.append((block[r], rows.column("shard")[0].as_py(), np.array(counts, np.uint32).tobytes(),
-                        np.concatenate(starts or none).astype(np.uint32).tobytes(),
-                        B.planes(np.concatenate(values or none))))
+        own, piece = np.concatenate(ids), np.concatenate(pieces)
+        answer: list[tuple | None] = [None] * len(shipped)
+        for k in range(PIECES):
+            here = np.flatnonzero(piece == k).tolist()
+            if here:
+                for i, found in zip(here, _stretches([shipped[i] for i in here], own[here], window), strict=True):
+                    answer[i] = found
+        cut, out, none = np.cumsum([0, *lens]), [], [np.zeros(0, np.int64)]
+        for r, (block, shard) in enumerate(zip(
+                rows.column("block").to_pylist(), rows.column("shard").to_pylist(), strict=True)):
+            mine = answer[cut[r]:cut[r + 1]]
+            counts = np.array([0 if x is None else len(x[0]) for x in mine], np.uint32)
+            held = [x for x in mine if x is not None]
+            out.append((block, shard, counts.tobytes(),
+                        np.concatenate([x for x, _ in held] or none).astype(np.uint32).tobytes(),
+                        B.planes(np.concatenate([x for _, x in held] or none))))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(
             zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()),
             strict=True)], names=["block", "shard", "counts", "starts", "values"])
@@ -232,15 +243,17 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts: bool = False) -
             for shard, contents in sorted(found.by_shard().items()):
                 out.append((shard, block.number, b"".join(contents),
                             np.array([len(c) for c in contents], np.uint32).tobytes(),
-                            B.planes(np.array([found.least[c] for c in contents], np.int64))))
+                            B.planes(np.array([found.least[c] for c in contents], np.int64)),
+                            bytes(found.piece_of[c] % PIECES for c in contents)))
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(
-            list(zip(*out, strict=True)) or [[]] * 5,
-            (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
-            names=["shard", "block", "data", "lens", "ids"])
+            list(zip(*out, strict=True)) or [[]] * 6,
+            (pa.int64(), pa.int64(), *[pa.binary()] * 4), strict=True)],
+            names=["shard", "block", "data", "lens", "ids", "pieces"])
 
     sent = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
-        send, "shard long, block long, data binary, lens binary, ids binary")
-    replies = cut_lineage(sent.groupBy("shard").applyInArrow(
+        send, "shard long, block long, data binary, lens binary, ids binary, pieces binary")
+    # A shard costs far more time than its bytes suggest: a task each, none merged.
+    replies = cut_lineage(sent.repartition(shards, "shard").groupBy("shard").applyInArrow(
         _resolve(window), "block long, shard long, counts binary, starts binary, values binary"))
     answers = shared.selectExpr(
         "block", "kind", "bucket", "n", "bits", "CAST(NULL AS BINARY) AS counts",
