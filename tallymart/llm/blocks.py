@@ -131,7 +131,8 @@ def runs_of(anchors: np.ndarray, lengths: np.ndarray, window: int, first: int) -
     new = np.flatnonzero(np.append(True, (values[1:] != values[:-1]) | (doc[1:] != doc[:-1]))) \
         if len(values) else np.zeros(0, np.int64)
     size = np.diff(np.append(new, len(values)))
-    return Runs(doc[new] + first, inside[new], size, values[new])
+    # Smallest hashes crowd at the low end; mixed again they fill all ranges alike.
+    return Runs(doc[new] + first, inside[new], size, mix(values[new]))
 
 
 def joined(parts: list[Runs]) -> Runs:
