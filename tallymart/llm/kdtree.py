@@ -84,12 +84,11 @@ class Tree:
             scores = queries[open_] @ self.points[a:z].T
             for r in np.flatnonzero((scores >= kth[open_, None]).any(axis=1)):
                 q = open_[r]
-                near = np.flatnonzero(scores[r] >= kth[q])
+                near = np.flatnonzero((scores[r] >= kth[q]) & (self.ids[a:z] != query_ids[q]))
                 if len(near) > 4 * k:  # keep whole ties: ids decide among them
                     least = np.partition(scores[r][near], len(near) - k)[len(near) - k]
                     near = near[scores[r][near] >= least]
-                new = [(-int(s), int(i)) for s, i in zip(scores[r][near], self.ids[a:z][near], strict=True)
-                       if i != query_ids[q]]
+                new = [(-int(s), int(i)) for s, i in zip(scores[r][near], self.ids[a:z][near], strict=True)]
                 best[q] = sorted({*best[q], *new})[:k]
                 if len(best[q]) == k:
                     kth[q], tie[q] = -best[q][-1][0], best[q][-1][1]

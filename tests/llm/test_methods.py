@@ -86,6 +86,32 @@ def test_tree_finds_the_best_with_ties():
         assert found == expected
 
 
+def _best_of_all(ids, points):
+    return [sorted((-int(s), int(j)) for s, j in zip(points @ q, ids, strict=True) if j != i)[:5]
+            for q, i in zip(points, ids, strict=True)]
+
+
+@pytest.mark.parametrize("n", [21, 40, 128])
+def test_a_query_does_not_count_among_its_leaf(n):
+    """One leaf holds all points, and a query's own score is among its highest."""
+    points = np.random.default_rng(n).integers(-99, 100, (n, 8)).astype(float)
+    ids = np.arange(n, dtype=np.int64)
+    best = [[] for _ in ids]
+    kdtree.Tree(ids, points).search(ids, points, best, 5)
+    assert best == _best_of_all(ids, points)
+
+
+def test_best_in_the_own_cluster():
+    """Tight clusters, each within a leaf: the best five stand beside the query."""
+    rng = np.random.default_rng(7)
+    centres = rng.integers(-200, 201, (40, 8))
+    points = (np.repeat(centres, 60, axis=0) + rng.integers(-3, 4, (2400, 8))).astype(float)
+    ids = rng.permutation(2400).astype(np.int64)
+    best = [[] for _ in ids]
+    kdtree.Tree(ids, points).search(ids, points, best, 5)
+    assert best == _best_of_all(ids, points)
+
+
 def test_tokens_equal_the_whole_text():
     ids = tokens.Ids(tokens.byte_bpe_path())
     for text in ("", " ", "\n", "a\n\nb", "a  b ", " a", "it's 'll  x\t y", "x<|endoftext|> y", "a\xa0b c",
