@@ -10,8 +10,12 @@ Inside a source the budget is met in three steps on its histogram of exact
 document lengths (one row per distinct length, never the documents): whole
 copies of the source, then the same fraction of every length, then the
 remaining words by greedy rounding and a bounded-knapsack dynamic programme
-(`subset_sum`), which finds the counts per length that come nearest from below. Which documents of a length are used is decided by a seeded hash of
-their id. Counts per length are split over `SALTS` hash ranges, so a length
+(`subset_sum`), which finds the counts per length that come nearest from below.
+Greedy rounding leaves the programme the last `DP_WORDS` words, or as many more
+as the shortest remaining document asks for; where even that one is longer than
+`DP_WORDS`, at most one more fits, and the longest that does is taken. So a
+target is missed by at most half of the shortest remaining document. Which
+documents of a length are used is decided by a seeded hash of their id. Counts per length are split over `SALTS` hash ranges, so a length
 that a third of all documents share is picked in as many tasks.
 
 Defined cases: null or blank text has size 0 and takes nothing; null sources
@@ -37,7 +41,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 SALTS = 64
 SEED = 20_240_601
-DP_WORDS = 1 << 18  # budget left to the dynamic programme; larger rests are first filled greedily
+DP_WORDS = 1 << 18  # words that greedy rounding leaves to the dynamic programme
 
 
 def subset_sum(lengths: list[int], counts: list[int], budget: int) -> dict[int, int]:
@@ -87,8 +91,11 @@ def fit_source(sizes: list[int], counts: list[int], target: int) -> tuple[int, l
             more = min(counts[i] - take[i], (rest - DP_WORDS) // size)
             take[i], rest = take[i] + more, rest - more * size
     order = [i for _, _, i in sorted(part, reverse=True)]
-    best = subset_sum([sizes[i] for i in order], [counts[i] - take[i] for i in order],
-                      min(rest, DP_WORDS))
+    left = [sizes[i] for i in order if sizes[i] and take[i] < counts[i]]
+    if min(left, default=0) > DP_WORDS:  # rest < DP_WORDS + shortest < 2 * shortest: one more at most
+        best = {s: 1 for s in [max((s for s in left if s <= rest), default=0)] if s}
+    else:  # rest <= DP_WORDS, or rest < DP_WORDS + shortest <= 2 * DP_WORDS
+        best = subset_sum([sizes[i] for i in order], [counts[i] - take[i] for i in order], rest)
     place = {s: i for i, s in enumerate(sizes)}
     for size, more in best.items():
         take[place[size]] += more

@@ -86,6 +86,33 @@ def test_tree_finds_the_best_with_ties():
         assert found == expected
 
 
+@pytest.mark.parametrize(("sizes", "counts", "target"), [
+    (list(range(300_000, 300_010)), [1] * 10, 1_000_000),
+    (list(range(300_000, 300_010)), [1] * 10, 1_600_000),
+    ([300_000, 450_000, 2_000_000], [3, 3, 3], 2_500_000),
+    ([400_000, 5_000_000], [1, 8], 9_000_000),
+    ([200_000, 250_000], [2, 2], 420_000),
+    ([0, 200_000, 700_000], [5, 1, 9], 1_400_000),
+])
+def test_fit_source_of_long_documents(sizes, counts, target):
+    copies, take = mixture.fit_source(sizes, counts, target)
+    assert copies == 0 and all(0 <= t <= c for t, c in zip(take, counts, strict=True))
+    least = min(s for s, c, t in zip(sizes, counts, take, strict=True) if s and t < c)
+    assert 2 * abs(target - sum(s * t for s, t in zip(sizes, take, strict=True))) <= least
+
+
+def test_fit_source_misses_by_half_a_document_at_most():
+    rng = random.Random(10)
+    for _ in range(60):
+        sizes = sorted(rng.sample(range(1, 10 ** rng.randint(3, 6)), rng.randint(1, 12)))
+        counts = [rng.randint(1, 6) for _ in sizes]
+        target = rng.randint(1, sum(s * c for s, c in zip(sizes, counts, strict=True)) - 1)
+        _, take = mixture.fit_source(sizes, counts, target)
+        left = [s for s, c, t in zip(sizes, counts, take, strict=True) if t < c]
+        off = target - sum(s * t for s, t in zip(sizes, take, strict=True))
+        assert 2 * abs(off) <= min(left, default=2 * abs(off))
+
+
 def _best_of_all(ids, points):
     return [sorted((-int(s), int(j)) for s, j in zip(points @ q, ids, strict=True) if j != i)[:5]
             for q, i in zip(points, ids, strict=True)]
