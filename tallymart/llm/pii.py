@@ -2,16 +2,17 @@
 
 Four kinds are found by fixed patterns and checks: e-mail addresses, IPv4
 addresses, card numbers (Luhn) and phone numbers. Each distinct value is a
-protected entity. The words within `NEAR` characters of its mentions are
-candidate terms, and the corpus says how much each of them discloses:
+protected entity. All words of the documents that mention it are candidate
+terms, however far away, and the corpus says how much each of them discloses:
 
-    posterior = documents with term near entity / documents with the term
+    posterior = documents with term and entity / documents with the term
     gain      = log2(posterior * all documents / documents with the entity)
 
-A term that stands near an entity in at least `SUPPORT` different texts is
+Words have `SHORTEST` letters at least and stand outside e-mail addresses. A term
+that occurs with an entity in at least `SUPPORT` different texts is
 generalised ("[TERM]") in documents that mention the entity when posterior and
 gain exceed their thresholds, and removed when the posterior exceeds `REMOVE`.
-Words of the language, and words near many entities, stay.
+Words of the language, and words that occur with many entities, stay.
 
 Positions are code points. A pattern's matches and the gaps between them are two
 arrays of the same row, so positions are running sums of their lengths. The
@@ -20,7 +21,7 @@ possessive repetition where nothing follows, and starts only at the beginning of
 a run or at the end of the previous match, where the plain pattern starts too.
 
 Defined cases: null text is empty; documents without findings keep their text;
-copies of one text count as one for the support; repeated rows are judged alike;
+copies of one text count as one for the support; repeated rows count one by one and are judged alike;
 an empty table gives an empty result; only doc_id and text are read, and
 `sanitise` returns every other column as it was, whatever its name. Only column
 functions run here.
@@ -44,7 +45,6 @@ KINDS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 WORD = r"\p{L}++"
-NEAR = 64
 SHORTEST = 3
 SUPPORT = 3
 POSTERIOR = 0.5
@@ -96,25 +96,17 @@ def _spans(kind: str) -> Column:
     return F.when(F.size(f"_m_{kind}") > 0, found)
 
 
-def _near(kind: str) -> Column:
-    """(entity, lower-case words around it) for each valid mention of one kind."""
-    letters = F.lit(r"\p{L}+")
+def _mentioned(kind: str) -> Column:
+    """The entities of one kind's valid mentions."""
+    return F.coalesce(F.transform(f"_s_{kind}", lambda x: F.xxhash64(
+        F.lit(kind), F.lower(F.get(F.col(f"_m_{kind}"), x["i"])))), F.array().cast("array<bigint>"))
 
-    def around(x: Column) -> Column:
-        before, after = F.get(F.col(f"_g_{kind}"), x["i"]), F.get(F.col(f"_g_{kind}"), x["i"] + 1)
-        # One character more on either side tells whole words from cut ones.
-        left = F.regexp_replace(F.substring(before, -NEAR - 1, NEAR + 1), F.when(
-            F.length(before) > NEAR, r"^\p{L}+").otherwise("^$"), "")
-        right = F.regexp_replace(F.substring(after, 1, NEAR + 1), F.when(
-            F.length(after) > NEAR, r"\p{L}+$").otherwise("^$"), "")
-        terms = F.array_union(F.regexp_extract_all(F.lower(left), letters, F.lit(0)),
-                              F.regexp_extract_all(F.lower(right), letters, F.lit(0)))
-        value = F.get(F.col(f"_m_{kind}"), x["i"])
-        return F.struct(F.xxhash64(F.lit(kind), F.lower(value)).alias("entity"),
-                        F.filter(terms, lambda t: F.length(t) >= SHORTEST).alias("terms"))
 
-    return F.coalesce(F.transform(f"_s_{kind}", around),
-                      F.array().cast("array<struct<entity: bigint, terms: array<string>>>"))
+def _words(text: Column) -> Column:
+    """The distinct lower-case words outside e-mail addresses; no other mention holds letters."""
+    outside = F.when(F.contains(text, F.lit("@")), F.regexp_replace(text, KINDS["email"], " ")).otherwise(text)
+    every = F.transform(F.regexp_extract_all(outside, F.lit(WORD), F.lit(0)), lambda w: F.lower(w))
+    return F.filter(F.array_distinct(every), lambda w: F.length(w) >= SHORTEST)
 
 
 def _text(name: str = "text") -> Column:
@@ -122,50 +114,64 @@ def _text(name: str = "text") -> Column:
 
 
 def detect(docs: DataFrame) -> DataFrame:
-    """doc_id, `_h` (hash of the text), `_s_<kind>` spans and `_near` contexts per document."""
+    """doc_id, `_h` (hash of the text), `_s_<kind>` spans, `_entities` and `_words` per document.
+
+    `_words` is null without entities.
+    """
     rows = docs.select("doc_id", _text().alias("_t"), F.xxhash64(_text()).alias("_h"))
     rows = _split_once(rows, F.col("_t"), KINDS)
     rows = with_columns_once(rows, {f"_s_{k}": _spans(k) for k in KINDS})
+    rows = with_columns_once(rows, {"_entities": F.array_distinct(F.concat(*[_mentioned(k) for k in KINDS]))})
     return rows.select("doc_id", "_h", *[
         F.coalesce(F.transform(f"_s_{k}", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))),
                    F.array().cast("array<struct<s: bigint, e: bigint>>")).alias(f"_s_{k}")
-        for k in KINDS], F.concat(*[_near(k) for k in KINDS]).alias("_near"))
+        for k in KINDS], "_entities", F.when(F.size("_entities") > 0, _words(F.col("_t"))).alias("_words"))
 
 
 def disclosing(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """(entity, term, removed) for every term that gives an entity away.
+    """(_h, entity, term, removed): the terms of a text that give away an entity it mentions.
 
-    `found` is what `detect` returned, written. Counts cover all of `docs`.
+    `found` is what `detect` returned, written. Counts cover all of `docs`. What cannot
+    pass goes early: both <= with_entity, so a term needs with_term < with_entity / POSTERIOR,
+    and posterior <= 1, so an entity needs with_entity < total / 2^GAIN.
     """
-    mentions = found.where(F.size("_near") > 0).select("doc_id", "_h", F.explode("_near").alias("_x"))
-    entities = mentions.groupBy(F.col("_x.entity").alias("entity"), "_h").agg(
-        F.count_distinct(F.coalesce("doc_id", F.lit(-1))).alias("n")).groupBy("entity").agg(
-        F.sum("n").alias("with_entity"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
-    pairs = mentions.select(F.col("_x.entity").alias("entity"), F.explode("_x.terms").alias("term"),
-                            "_h", "doc_id").groupBy("entity", "term", "_h").agg(
-        F.count_distinct(F.coalesce("doc_id", F.lit(-1))).alias("n")).groupBy("entity", "term").agg(
-        F.sum("n").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= SUPPORT)
-    each = F.array_distinct(F.split(F.lower(_text()), r"[^\p{L}]+"))
-    terms = docs.select(F.explode(each).alias("term")).where(F.length("term") >= SHORTEST).groupBy(
-        "term").agg(F.count("*").alias("with_term"))
-    total = found.agg(F.count("*").alias("total"))
-    posterior = F.least(F.lit(1.0), F.col("both") / F.col("with_term"))
-    return pairs.drop("texts").join(entities.drop("texts"), "entity").join(terms, "term").join(
-        F.broadcast(total)).select(  # one row
+    total, least = found.count(), 2.0 ** GAIN
+    mentions = found.where(F.size("_entities") > 0)
+    held = cut_lineage(mentions.select("_h", F.explode("_entities").alias("entity")).groupBy(
+        "_h", "entity").agg(F.count("*").alias("n")))
+    entities = held.groupBy("entity").agg(
+        F.sum("n").alias("with_entity"), F.count("*").alias("texts")).where(
+        (F.col("texts") >= SUPPORT) & (F.col("with_entity") * least < total)).drop("texts")
+    held = cut_lineage(held.join(entities, "entity"))
+    terms = cut_lineage(docs.select(F.explode(_words(_text())).alias("term")).groupBy("term").agg(
+        F.count("*").alias("with_term")).where(F.col("with_term") >= SUPPORT))
+    rare = F.col("with_term") * POSTERIOR * least < total
+    # At most 2^GAIN * POSTERIOR times the distinct words of an average document.
+    frequent = F.broadcast(terms.where(~rare).select("term"))
+    most = held.groupBy("_h").agg(F.max("with_entity").alias("_most"))
+    each = mentions.groupBy("_h").agg(F.first("_words").alias("_words")).join(most, "_h").select(
+        "_h", "_most", F.explode("_words").alias("term"))
+    each = each.join(frequent, "term", "left_anti").join(terms.where(rare), "term").where(
+        F.col("with_term") * POSTERIOR < F.col("_most")).drop("_most")
+    both = cut_lineage(each.join(held, "_h").where(F.col("with_term") * POSTERIOR < F.col("with_entity")))
+    posterior = F.col("both") / F.col("with_term")
+    pairs = both.groupBy("entity", "term").agg(
+        F.sum("n").alias("both"), F.count("*").alias("texts"), F.first("with_term").alias("with_term"),
+        F.first("with_entity").alias("with_entity")).where(F.col("texts") >= SUPPORT).select(
         "entity", "term", (posterior > REMOVE).alias("removed"), posterior.alias("posterior"),
-        F.log2(posterior * F.col("total") / F.col("with_entity")).alias("gain"),
+        F.log2(posterior * total / F.col("with_entity")).alias("gain"),
     ).where((F.col("posterior") > POSTERIOR) & (F.col("gain") > GAIN)).select("entity", "term", "removed")
+    return both.select("_h", "entity", "term").join(pairs, ["entity", "term"])
 
 
 def document_terms(found: DataFrame, pairs: DataFrame) -> DataFrame:
     """Per document with such terms: `_id`, `_th` and the terms to remove and to generalise."""
-    mentioned = found.where(F.size("_near") > 0).select(
-        F.col("doc_id").alias("_id"), F.col("_h").alias("_th"),
-        F.explode(F.array_distinct(F.transform("_near", lambda x: x["entity"]))).alias("entity"))
-    # At most the distinct words near one document's own mentions' entities.
-    return mentioned.join(pairs, "entity").groupBy("_id", "_th").agg(
+    # At most the distinct words of one document.
+    own = pairs.groupBy("_h").agg(
         F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("_drop"),
         F.collect_set(F.when(~F.col("removed"), F.col("term"))).alias("_mask"))
+    return found.where(F.size("_entities") > 0).select("doc_id", "_h").distinct().join(own, "_h").select(
+        F.col("doc_id").alias("_id"), F.col("_h").alias("_th"), "_drop", "_mask")
 
 
 def _with_terms(rows: DataFrame, terms: DataFrame, how: str) -> DataFrame:
@@ -177,7 +183,11 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", _text().alias("_t"), F.xxhash64(_text()).alias("_h"))
     rows = _with_terms(rows, terms, "inner").select(
         "doc_id", "_h", "_t", F.concat("_drop", "_mask").alias("_terms"))
-    rows = _split_once(rows, F.col("_t"), {"term": WORD})
+    rows = _split_once(rows, F.col("_t"), {"email": KINDS["email"]})
+    blank = F.concat(F.transform("_m_email", lambda m: F.repeat(F.lit(" "), F.length(m))), F.array(F.lit("")))
+    rows = with_columns_once(rows, {"_b": F.when(F.size("_m_email") > 0, F.array_join(F.zip_with(
+        "_g_email", blank, lambda g, m: F.concat(g, m)), "")).otherwise(F.col("_t"))})
+    rows = _split_once(rows, F.col("_b"), {"term": WORD})
     rows = with_columns_once(rows, {"_s": F.filter(_placed("term"), lambda x: F.array_contains(
         F.col("_terms"), F.lower(F.get(F.col("_m_term"), x["i"]))))})
     return rows.select("doc_id", "_h", F.transform("_s", lambda x: F.struct(

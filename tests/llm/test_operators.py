@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -356,6 +357,41 @@ def test_disclosing_terms(spark):
     assert clean[60] == dict(rows)[60]
 
 
+def test_terms_come_from_the_whole_document(spark):
+    """Names far from the mention, behind a refused match, and between two addresses."""
+    rng = random.Random(11)
+    far = prose(60, rng)
+    rows = [(k, f"Zorkan Rilke {prose(2, rng)}\n{far} {k}\nmail boss@corp.example") for k in range(4)]
+    rows += [(10 + k, f"{prose(3, rng)} Quorvin paid 2024 with 4111 1111 1111 1111") for k in range(4)]
+    rows += [(20 + k, f"Vexlor {prose(3, rng)}: a@x.example, b@x.example") for k in range(4)]
+    rows += [(30, None), (31, ""), (32, rows[0][1]), (0, rows[0][1])]
+    rows += [(40 + k, f"Mirv {prose(3, rng)} rilke p@q.example") for k in range(3)]
+    rows += [(50 + k, f"{prose(40, rng)} {far}" + " mirv" * (k < 3)) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words, entities = [], []
+    for _, t in rows:
+        words.append({w.lower() for w in re.findall(r"[^\W\d_]{3,}", re.sub(brute.PATTERNS["email"], " ", t or ""))})
+        entities.append({(k, t[a:z].lower()) for k, a, z in brute.spans(t)})
+    with_term, gone = Counter(w for x in words for w in x), {}
+    for e in set().union(*entities):
+        at = [i for i, x in enumerate(entities) if e in x]
+        for w, n in Counter(w for i in at for w in words[i]).items():
+            posterior = n / with_term[w]
+            if (len({rows[i][1] for i in at if w in words[i]}) >= 3 and posterior > 0.5
+                    and posterior * len(rows) / len(at) > 64):
+                for i in at:
+                    gone.setdefault(i, set()).update({w} & words[i])
+    assert set().union(*gone.values()) >= {"zorkan", "rilke", "quorvin", "paid", "vexlor"}
+    assert "mirv" not in set().union(*gone.values())
+    found = {(r["doc_id"], r["n_email"]): r["spans"] for r in pii.find(docs).collect()}
+    clean = {(r["doc_id"], r["text"]) for r in pii.sanitise(docs).collect()}
+    for i, (k, t) in enumerate(rows):
+        spans = found[k, sum(x[0] == "email" for x in brute.spans(t))].split(",")
+        got = {t[int(a):int(z)].lower() for kind, a, z in (s.split(":") for s in spans if s) if kind == "term"}
+        assert got == gone.get(i, set())
+    assert not any(w in (t or "").lower() for k, t in clean for w in ("zorkan", "quorvin", "vexlor"))
+
+
 def test_sanitise(docs):
     out = pii.sanitise(docs)
     assert out.columns == docs.columns
