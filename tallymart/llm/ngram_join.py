@@ -96,7 +96,7 @@ def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-SENT = ("doc_id long, n long, node long, prefix array<long>, parts array<array<long>>")
+SENT = ("doc_id long, text_hash long, n long, node long, prefix array<long>, parts array<array<long>>")
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -106,14 +106,14 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def describe(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """Per document its set size and node; prefix and fragments for one document of each
+    """Per document the hash of its text, its set size and node; prefix and fragments for one document of each
     candidate set of a block."""
     blocks, layout = B.write_blocks(docs)
     shared = B.find_shared(blocks, lambda block: _sets(block, gram)[1], layout.buckets(0.6), LEVELS)
 
     def run(rows: pa.Table, marks: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return pa.table({"doc_id": [], "n": [], "node": [], "prefix": [], "parts": []})
+            return pa.table({"doc_id": [], "text_hash": [], "n": [], "node": [], "prefix": [], "parts": []})
         block = B.Block(rows)
         sets, runs = _sets(block, gram)
         common, rarity = _frequencies(runs, marks)
@@ -136,13 +136,14 @@ def describe(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataF
         groups = np.cumsum([0, *[FRAGMENTS if c else 0 for c in candidate]]).astype(np.int32)
         inner = _lists(parts)
         missing = pa.array([not c for c in candidate])
+        hashes = np.array([xxhash.xxh64_intdigest(t, 42) for t in block.texts], np.uint64)  # as Spark's xxhash64
         return pa.Table.from_arrays([
-            pa.array(block.doc_ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+            pa.array(block.doc_ids, pa.int64()), pa.array(hashes.view(np.int64)), pa.array([len(s) for s in sets], pa.int64()),
             pa.array(nodes, pa.int64()),
             pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, prefix)]).astype(np.int32)),
                                      pa.array(np.concatenate([*prefix, empty]).view(np.int64)), mask=missing),
             pa.ListArray.from_arrays(pa.array(groups), inner, mask=missing)],
-            names=["doc_id", "n", "node", "prefix", "parts"])
+            names=["doc_id", "text_hash", "n", "node", "prefix", "parts"])
 
     return cut_lineage(blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(run, SENT))
 
@@ -268,14 +269,19 @@ def link_nodes(nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
     return labels
 
 
-def label(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def _components(docs: DataFrame, gram: int, percent: int) -> DataFrame:
+    """doc_id, text_hash, n and c, the key of the component (null without grams), of every document."""
     sent = describe(docs, gram, percent)
     nodes = cut_lineage(sent.where(F.col("prefix").isNotNull()).groupBy("node").agg(
         F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts")))
     labels = link_nodes(nodes, percent)
-    rows = cut_lineage(sent.select("doc_id", "n", "node").join(labels, "node", "left").select(
-        "doc_id", "n", F.coalesce("component", "node").alias("c")))
+    return cut_lineage(sent.select("doc_id", "text_hash", "n", "node").join(labels, "node", "left").select(
+        "doc_id", "text_hash", "n", F.coalesce("component", "node").alias("c")))
+
+
+def label(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    rows = _components(docs, gram, percent)
     least = cut_lineage(rows.where(F.col("c").isNotNull()).groupBy("c").agg(
         F.min("doc_id").alias("component_id"), F.count("*").alias("held")).where("held > 1").select(
             "c", "component_id"))
@@ -288,20 +294,26 @@ def label(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFram
 def keep_one(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
     """One row of `docs` per component: that of the smallest doc_id, unchanged.
 
-    Rows that repeat a kept doc_id are reduced to one; rows without an id stay only
-    where nothing in their component has one.
+    Rows are told apart by id and text: of equal ids the smaller hash of the text
+    stays, rows without an id come last, and rows equal in both are reduced to one.
+    Rows without grams are components of their own; equal ones with an id are reduced too.
     """
-    labels = cut_lineage(label(docs, gram, percent))
-    kept = cut_lineage(labels.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_kept")).groupBy("_kept").agg(F.count("*").alias("_rows")))
+    cells = _components(docs, gram, percent).groupBy("c", "doc_id", "text_hash").agg(F.count("*").alias("_rows"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "_rows")).alias("k")
+    linked = cells.where("c IS NOT NULL").groupBy("c").agg(best).select("k.doc_id", "k.text_hash", "k._rows")
+    alone = cells.where("c IS NULL").select(
+        "doc_id", "text_hash", F.when(F.col("doc_id").isNull(), 1).otherwise(F.col("_rows")).alias("_rows"))
+    kept = cut_lineage(linked.unionByName(alone).select(
+        F.col("doc_id").alias("_kept"), F.col("text_hash").alias("_hash"), "_rows"))
     rows = docs.select(F.struct("*").alias("_row"))
-    out = rows.join(kept, F.col("_row.doc_id").eqNullSafe(F.col("_kept")))
-    if kept.where("_rows > 1 AND _kept IS NOT NULL").isEmpty():
+    text = F.coalesce(F.col("_row.text").cast("string"), F.lit(""))
+    out = rows.join(kept, F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_kept"))
+                    & (F.xxhash64(text) == F.col("_hash")))
+    if kept.where("_rows > 1").isEmpty():
         return out.select("_row.*")
-    # Only repeated ids are grouped.
-    once = out.where("_rows = 1 OR _kept IS NULL").select("_row")
-    return once.unionByName(out.where("_rows > 1 AND _kept IS NOT NULL").groupBy("_kept").agg(
-        F.min("_row").alias("_row")).select("_row")).select("_row.*")
+    # Only repeated rows are grouped.
+    return out.where("_rows = 1").select("_row").unionByName(out.where("_rows > 1").groupBy(
+        "_kept", "_hash").agg(F.min("_row").alias("_row")).select("_row")).select("_row.*")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

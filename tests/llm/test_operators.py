@@ -184,6 +184,18 @@ def test_keep_one(docs):
     assert sorted(r["doc_id"] for r in again.collect()) == expected
 
 
+def test_keep_one_of_null_and_repeated_ids(spark):
+    rng = random.Random(12)
+    a, b, c, d, e = (prose(100, rng) for _ in range(5))
+    rows = [(None, a), (1, a + " end"), (2, b), (2, b + " end"), (2, c), (3, c), (None, d), (None, d + " end"),
+            (None, d), (None, e), (4, " "), (4, " "), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter((r["doc_id"], r["text"]) for r in ngram_join.keep_one(docs).collect())
+    for i, text in ((2, b), (None, d)):
+        assert kept.pop((i, text), 0) + kept.pop((i, text + " end"), 0) == 1
+    assert kept == Counter({(1, a + " end"): 1, (2, c): 1, (None, e): 1, (4, " "): 1, (None, None): 1, (None, ""): 1})
+
+
 # 4, 8 ---------------------------------------------------------------------------------------
 
 
