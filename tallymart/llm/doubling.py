@@ -4,9 +4,9 @@ Level one looks at windows of seven words: a seed of every longer window, picked
 by the smallest hash, is checked for a second document (`blocks.find_shared`).
 Where it recurs alone, windows are extended to twice that length, 13 words with
 one word in common; a window recurs when its hash is found under a smaller
-doc_id. Longer levels (26, 52, ...) extend only what recurred at the level before
-until no candidate survives; they do not change which words are covered, and
-`longest_levels` reports them.
+doc_id. The query makes this one step. `longest_levels` reports longer windows (26,
+52, ...): it judges the whole input anew for each length until a length finds
+nothing, and carries no windows over from the length before.
 
 Words are runs of characters other than space and \\t to \\r and enter by 64-bit
 hashes. Every word covered by a 13-word window that also starts in a document with
