@@ -32,6 +32,13 @@ def test_names_match():
     assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_names_without_training_data(monkeypatch):
+    """Neither subpackage nor pipeline: the pipeline's file alone must not be imported."""
+    monkeypatch.setattr(entry.importlib.util, "find_spec", lambda name: None if name.startswith("tallymart.llm") else True)
+    assert set(entry.queries()) == set(QUERIES)
+    assert set(entry.oracle_sql()) == set(ORACLES)
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, engine, name):
     found = QUERIES[name](spark, FOLDER)
