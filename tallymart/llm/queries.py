@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tallymart.llm import doubling, factorisation, hilbert_pack, kdtree, mixture, ngram_join, pii, quality_rules, suffix_arrays, warc
+from tallymart.llm import (doubling, factorisation, hilbert_pack, kdtree, mixture, ngram_join, pii, quality_rules,
+                           repair, suffix_arrays, warc)
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -15,6 +16,7 @@ LLM_QUERIES = {
     "op8_suffix_array_dedup": suffix_arrays.op8_suffix_array_dedup,
     "op9_disclosing_terms": pii.op9_disclosing_terms,
     "op10_kd_tree_top_k": kdtree.op10_kd_tree_top_k,
+    "op12_conversation_repair": repair.op12_conversation_repair,
 }
 
 LLM_ORACLES = {
@@ -24,4 +26,5 @@ LLM_ORACLES = {
     "op7_warc_index_merge": warc.ORACLE,
     "op8_suffix_array_dedup": suffix_arrays.ORACLE,
     "op10_kd_tree_top_k": kdtree.ORACLE,
+    "op12_conversation_repair": repair.ORACLE,
 }

@@ -14,7 +14,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test table
 @pytest.fixture(scope="module")
 def engine():
     connection = duckdb.connect()
-    for name in ("documents", "labels", "pages", "embeddings"):
+    for name in ("documents", "labels", "pages", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return connection
 
