@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tallymart.llm import (doubling, factorisation, hilbert_pack, kdtree, mixture, ngram_join, pii, quality_rules,
-                           repair, suffix_arrays, warc)
+from tallymart.llm import (alignment, doubling, factorisation, hilbert_pack, kdtree, mixture, ngram_join, pii,
+                           quality_rules, repair, suffix_arrays, warc)
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -17,6 +17,7 @@ LLM_QUERIES = {
     "op9_disclosing_terms": pii.op9_disclosing_terms,
     "op10_kd_tree_top_k": kdtree.op10_kd_tree_top_k,
     "op12_conversation_repair": repair.op12_conversation_repair,
+    "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
 
 LLM_ORACLES = {
