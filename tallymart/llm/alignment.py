@@ -47,7 +47,7 @@ from tallymart.session import cut_lineage
 
 BUCKETS = 64  # of B ids
 FAN = 32
-UNITS = 300_000  # remembered at once; only speed depends on it
+UNITS = 500_000  # remembered at once, and what a chunk adds; only speed depends on it
 CHUNK = 1 << 20  # characters resolved at once
 JOINED = 1 << 16  # characters of new units encoded together
 LOOKUP_PAIRS = 4_000_000  # 17 bytes each
@@ -68,6 +68,19 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
 
 
+class Numbers(dict):
+    """Numbers strings as they come, from a list that it shares with others."""
+
+    def __init__(self, mark: str, met: list[str]):
+        super().__init__()
+        self.mark, self.met = mark, met
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self.met)
+        self.met.append(self.mark + word)
+        return number
+
+
 class Pair:
     """Both tokenizers, and the bytes of their tokens."""
 
@@ -100,19 +113,24 @@ class Pair:
             cls._loaded[key] = cls(*key)
         return cls._loaded[key]
 
-    def units(self, text: str) -> list[str]:
-        """Parts of space + text that are encoded alike alone and in place."""
+    def units(self, text: str, first: Numbers, spaced: Numbers) -> list[int]:
+        """Numbers of the parts of space + text that are encoded alike alone and in place:
+        `spaced` knows words behind a space, `first` words behind a line break, and whatever
+        else a unit may be as it is."""
         if not self.cuts:
-            return [" " + text]
-        out = []
+            return [first[" " + text]]
+        out: list[int] = []
         for line in text.split("\n"):
             words = line.split(" ")
             # Printable: no white space but spaces. No empty word: each of them stands alone.
             if "" in words or not line.isprintable():
-                return pieces(" " + text)
-            out.append("\n" + words[0])
-            out.extend([" " + w for w in words[1:]])
-        out[0] = " " + out[0][1:]
+                parts = pieces(" " + text)
+                return [first[parts[0]], *[spaced[x[1:]] for x in parts[1:]]]
+            if out:
+                out.append(first["\n" + words[0]])
+                out.extend(map(spaced.__getitem__, words[1:]))
+            else:
+                out.extend(map(spaced.__getitem__, words))
         return out
 
     def apart(self, unit: str) -> bool:
@@ -157,27 +175,33 @@ class Aligned:
         return cls._kept[paths]
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.met: list[str] = []  # the units by number; `learn` brings the rest up to it
+        self.first, self.spaced = Numbers("", self.met), Numbers(" ", self.met)
         self.groups: list[str | None] = []  # None where a tokenizer does not give the bytes back
         self.bad = False
-        self._sizes: list[np.ndarray] = []  # tokens of A, of B, links
-        self._keys: list[np.ndarray] = []
+        self._sizes: list[np.ndarray] = [np.zeros((0, 3), np.int64)]  # tokens of A, of B, links
+        self._keys: list[np.ndarray] = [np.zeros(0, np.uint64)]
         self.scores, self.scored_by = np.zeros((0, 3), np.int64), None
 
     @property
     def sizes(self) -> np.ndarray:
-        self._sizes = [np.concatenate([np.zeros((0, 3), np.int64), *self._sizes])]
+        if len(self._sizes) > 1:
+            self._sizes = [np.concatenate(self._sizes)]
         return self._sizes[0]
 
     @property
     def keys(self) -> np.ndarray:
-        self._keys = [np.concatenate([np.zeros(0, np.uint64), *self._keys])]
+        if len(self._keys) > 1:
+            self._keys = [np.concatenate(self._keys)]
         return self._keys[0]
 
-    def learn(self, units: list[str]) -> None:
+    def learn(self) -> None:
+        """Encodes and aligns the units met since the last time."""
         near, size = [], 0
-        for unit in units:
+        for unit in self.met[len(self.groups):]:
             if self.pair.apart(unit):
+                self._add(near)
+                near, size = [], 0
                 self._add_one(unit)
                 continue
             near.append(unit)
@@ -185,11 +209,12 @@ class Aligned:
             if size >= JOINED:
                 self._add(near)
                 near, size = [], 0
-        if near:
-            self._add(near)
+        self._add(near)
 
     def _add(self, units: list[str]) -> None:
         """Units encoded as one text behind a first word, and taken apart at their ends."""
+        if not units:
+            return
         raw = [u.encode() for u in units]
         whole = b" x" + b"".join(raw)
         a, b = (np.array(x, np.int64) for x in self.pair.encode(whole.decode()))
@@ -222,7 +247,6 @@ class Aligned:
         group_at = np.searchsorted(common, at, side="right")
         a_at, b_at = np.searchsorted(a_ends, at, side="right"), np.searchsorted(b_ends, at, side="right")
         text_at = until[a_at + b_at].tolist()
-        self.number.update(zip(units, range(len(self.groups), len(self.groups) + len(units)), strict=True))
         text = digits.decode()
         self.groups.extend([text[i:j - 1] for i, j in zip(text_at[:-1], text_at[1:], strict=True)])
         self._sizes.append(np.stack([np.diff(a_at), np.diff(b_at), np.diff(group_at)], axis=1))
@@ -247,7 +271,6 @@ class Aligned:
                 out.append(f"{','.join(map(str, a[from_a:i]))}|{','.join(map(str, b[from_b:j]))}")
                 keys.append(a[i - 1] << 32 | b[j - 1])
                 from_a, from_b = i, j
-        self.number[unit] = len(self.groups)
         self.groups.append(";".join(out) if good else None)
         self.bad |= not good
         self._sizes.append(np.array([[len(a), len(b), len(keys)]], np.int64))
@@ -279,25 +302,20 @@ class Aligned:
 def _documents(texts: Iterator[str | None], aligned: Aligned, before_clear=None):
     """Numbers of the units of every text, None for texts without tokens, chunk by chunk."""
 
-    def resolve(chunk: list[list[str] | None]):
-        known = aligned.number
-        fresh = list({u: None for units in chunk if units for u in units if u not in known})
-        if len(known) + len(fresh) > UNITS and known:
-            if before_clear:
-                before_clear()
-            aligned.clear()
-            fresh = list({u: None for units in chunk if units for u in units})
-        aligned.learn(fresh)
-        known = aligned.number
-        for units in chunk:
-            numbers = None if units is None else list(map(known.__getitem__, units))
+    def resolve(chunk: list[list[int] | None]):
+        aligned.learn()
+        for numbers in chunk:
             if aligned.bad and numbers is not None and None in map(aligned.groups.__getitem__, numbers):
                 numbers = None
             yield numbers
+        if len(aligned.met) > UNITS:
+            if before_clear:
+                before_clear()
+            aligned.clear()
 
     chunk, size = [], 0
     for text in texts:
-        chunk.append(aligned.pair.units(text) if text else None)
+        chunk.append(aligned.pair.units(text, aligned.first, aligned.spaced) if text else None)
         size += len(text or "")
         if size >= CHUNK:
             yield from resolve(chunk)
@@ -534,7 +552,7 @@ def _align(paths: tuple[str, str], shared=None, whole: bool = False, pairs: bool
                 if not numbers:
                     out.append((doc_id, 0, 0, 0, 0, 0, 0, "", *([[], []] if pairs else [])))
                     continue
-                if len(sizes) != len(aligned.groups) or numbers[0] >= len(sizes):
+                if sizes is not aligned.sizes:
                     sizes = aligned.sizes
                     starts = np.append(0, np.cumsum(sizes[:, 2]))
                 n_a, n_b, links = sizes[numbers].sum(axis=0).tolist()
