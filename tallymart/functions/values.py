@@ -57,54 +57,87 @@ def iso_date(text: Column) -> Column:
 _NUMBER = r"^([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,3}))?$"
 
 
-def _read_number(text: Column) -> tuple[Column, Column, Column, Column]:
-    """Of a number as text: is it one, is it zero, is it positive, and the power of
-    ten of its last digit that is not zero. Digits are judged as text, so that
-    rounding in a cast can hide nothing."""
-    fraction = F.regexp_extract(text, _NUMBER, 3)
-    digits = F.concat(F.regexp_extract(text, _NUMBER, 2), fraction)
-    significant = F.regexp_replace(digits, "0+$", "")
-    exponent = F.coalesce(F.regexp_extract(text, _NUMBER, 4).try_cast("int"), F.lit(0))
-    last_place = exponent - F.length(fraction) + F.length(digits) - F.length(significant)
-    wellformed = text.rlike(_NUMBER) & (F.length(digits) > 0)
-    return (
-        wellformed, significant.rlike("^0*$"), F.regexp_extract(text, _NUMBER, 1) != "-", last_place
+_PLAIN = r"^\d{1,8}(\.\d{0,2}0*)?$"
+
+
+def plain_amount(text: Column) -> Column:
+    """Amounts as they are usually written, exactly; anything else is null."""
+    return F.when(text.rlike(_PLAIN), text.try_cast("decimal(10,2)"))
+
+
+def number_parts(text: Column) -> Column:
+    """A number as text, split: sign, digits before and behind the point, exponent, and
+    whether it is one at all. Digits are judged as text, so that rounding in a cast can
+    hide nothing."""
+    return F.struct(
+        text.alias("text"),
+        text.rlike(_NUMBER).alias("shaped"),
+        F.regexp_extract(text, _NUMBER, 1).alias("sign"),
+        F.regexp_extract(text, _NUMBER, 2).alias("whole"),
+        F.regexp_extract(text, _NUMBER, 3).alias("fraction"),
+        F.coalesce(F.regexp_extract(text, _NUMBER, 4).try_cast("int"), F.lit(0)).alias("exponent"),
     )
 
 
+def _positive(parts: Column) -> tuple[Column, Column, Column]:
+    """Of split numbers: is it zero, is it above zero, and the power of ten of its last
+    digit that is not zero."""
+    digits = F.concat(parts["whole"], parts["fraction"])
+    significant = F.rtrim(digits, F.lit("0"))
+    zeros = F.length(digits) - F.length(significant)
+    number = parts["shaped"] & (F.length(digits) > 0)
+    zero = F.ltrim(significant, F.lit("0")) == ""
+    above = number & ~zero & (parts["sign"] != "-")
+    return number & zero, above, parts["exponent"] - F.length(parts["fraction"]) + zeros
+
+
 def _at_least(text: Column, limit: int) -> Column:
     """Beyond the widest decimal a cast gives null, which is too much as well."""
     return F.coalesce(text.try_cast("decimal(38,10)") >= limit, F.lit(True))
 
 
-def money(text: Column) -> Column:
+def money_of(amount: Column, parts: Column) -> Column:
     """Non-negative amount below AMOUNT_LIMIT with at most two significant decimals, else null.
 
-    A plain amount takes the first branch; signs and exponents take the second.
+    `amount` is the plain amount; `parts` is read only where that is null.
     """
-    plain = text.rlike(r"^\d{1,8}(\.\d{0,2}0*)?$")
-    wellformed, zero, positive, last_place = _read_number(text)
-    small = positive & (last_place >= -2) & ~_at_least(text, AMOUNT_LIMIT)
+    zero, above, last_place = _positive(parts)
+    text = parts["text"]
     return (
-        F.when(plain, text.try_cast("decimal(10,2)"))
-        .when(wellformed & zero, F.lit(0).cast("decimal(10,2)"))
-        .when(wellformed & small, text.try_cast("decimal(38,10)").try_cast("decimal(10,2)"))
+        F.when(amount.isNotNull(), amount)
+        .when(zero, F.lit(0).cast("decimal(10,2)"))
+        .when(above & (last_place >= -2) & ~_at_least(text, AMOUNT_LIMIT),
+              text.try_cast("decimal(38,10)").try_cast("decimal(10,2)"))
     )
 
 
-def too_large(text: Column) -> Column:
+def too_large_of(amount: Column, parts: Column) -> Column:
     """True for an amount that is right but does not fit its column."""
-    wellformed, zero, positive, last_place = _read_number(text)
-    return F.coalesce(
-        wellformed & ~zero & positive & (last_place >= -2) & _at_least(text, AMOUNT_LIMIT),
-        F.lit(False))
+    _, above, last_place = _positive(parts)
+    return F.when(amount.isNotNull(), F.lit(False)).otherwise(F.coalesce(
+        above & (last_place >= -2) & _at_least(parts["text"], AMOUNT_LIMIT), F.lit(False)))
 
 
-def whole_number(text: Column) -> Column:
+def whole_number_of(amount: Column, parts: Column) -> Column:
     """Positive whole number up to MAX_INT, else null; 4.0 and 4e0 are 4."""
-    wellformed, zero, positive, last_place = _read_number(text)
-    whole = wellformed & ~zero & positive & (last_place >= 0) & ~_at_least(text, MAX_INT + 1)
-    return F.when(whole, text.try_cast("decimal(38,10)").cast("int"))
+    _, above, last_place = _positive(parts)
+    text = parts["text"]
+    return F.when(
+        amount.isNotNull(), F.when((amount > 0) & (F.floor(amount) == amount), amount.cast("int"))
+    ).when(above & (last_place >= 0) & ~_at_least(text, MAX_INT + 1),
+           text.try_cast("decimal(38,10)").cast("int"))
+
+
+def money(text: Column) -> Column:
+    return money_of(plain_amount(text), number_parts(text))
+
+
+def too_large(text: Column) -> Column:
+    return too_large_of(plain_amount(text), number_parts(text))
+
+
+def whole_number(text: Column) -> Column:
+    return whole_number_of(plain_amount(text), number_parts(text))
 
 
 def moment(text: Column) -> Column:

@@ -52,25 +52,32 @@ def assign_keys(dim: DataFrame, updates: DataFrame, business_key: str, key: str)
     )
 
 
-def newest_rejections(rejected: DataFrame, order: list[str]) -> DataFrame:
+def newest_rejections(rejected: DataFrame, order: list[str], row: str | None = None) -> DataFrame:
     """One rejection per record: the last one of the batch."""
-    return latest_per_key(rejected, ["source", "record_id"], order)
+    return latest_per_key(rejected, ["source", "record_id"], order, row)
 
 
-def record_rejections(
-    current: DataFrame, source: str, accepted: DataFrame, rejected: DataFrame, now: Column
+def rejection_entries(
+    source: str, accepted: DataFrame, rejected: DataFrame, now: Column, run: int
 ) -> DataFrame:
-    """Accepted ids clear their earlier rejections, then new rejections are stored.
+    """What a run adds to the log of rejections: accepted ids, and new rejections.
 
     `accepted` holds `record_id`; `rejected` holds one row per (source, record_id).
     """
-    cleared = current.join(
-        accepted.select(F.lit(source).alias("source"), "record_id").distinct(),
-        ["source", "record_id"],
-        "left_anti",
-    )
-    stamped = rejected.withColumns({"rejected_at": now, "rejected_date": F.to_date(now)})
-    return upsert(cleared, stamped, ["source", "record_id"])
+    cleared = accepted.select(F.lit(source).alias("source"), "record_id").distinct()
+    refused = rejected.withColumn("refused", F.lit(True))
+    both = cleared.withColumn("refused", F.lit(False)).unionByName(refused, allowMissingColumns=True)
+    return both.withColumns(
+        {"rejected_at": now, "rejected_date": F.to_date(now), "run": F.lit(run).cast("long")})
+
+
+def current_rejections(log: DataFrame) -> DataFrame:
+    """The rejections that stand: of each record the newest entry, if that is a refusal.
+
+    Within a run a refusal counts more than an acceptance.
+    """
+    newest = latest_per_key(log, ["source", "record_id"], ["run", "refused"])
+    return newest.filter("refused").drop("refused", "run")
 
 
 def touched_parts(

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.operators.ranking import latest_per_key
+from tallymart.session import cut_lineage
 
 
 def newest_of_batch(accepted: DataFrame, ingested_at: Column) -> DataFrame:
@@ -26,16 +27,13 @@ def land(current: DataFrame, batch: DataFrame) -> DataFrame:
     `current` may be any subset of the landing table that holds every earlier
     version of the orders in the batch.
     """
-    newest = F.struct("ingested_at", "doc", "ingested_date")
     # At one instant the batch, which arrived later, wins.
-    return (
+    rows = cut_lineage(
         current.withColumn("_batch", F.lit(0))
         .unionByName(batch.withColumn("_batch", F.lit(1)))
-        .groupBy("order_id")
-        .agg(
-            F.max_by(newest, F.struct("ingested_at", "_batch")).alias("_newest"),
-            F.min("first_seen_at").alias("first_seen_at"),
-        )
-        .select("order_id", "_newest.doc", "_newest.ingested_at", "first_seen_at",
-                "_newest.ingested_date")
+        .withColumn("_row", F.monotonically_increasing_id())
     )
+    first = rows.groupBy(F.col("order_id").alias("_id")).agg(F.min("first_seen_at").alias("_first"))
+    return latest_per_key(rows, ["order_id"], ["ingested_at", "_batch"], row="_row").join(
+        first, F.col("order_id").eqNullSafe(F.col("_id"))
+    ).select("order_id", "doc", "ingested_at", F.col("_first").alias("first_seen_at"), "ingested_date")

@@ -9,6 +9,8 @@ that counts them and the job that uses them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,12 +118,29 @@ def global_rank(df: DataFrame, value: str, tie_breaker: str, name: str = "rank")
     )
 
 
-def latest_per_key(df: DataFrame, keys: list[str], newest: list[str]) -> DataFrame:
-    """One row per key: the one with the greatest `newest` columns.
+def latest_per_key(
+    df: DataFrame, keys: list[str], newest: list[str], row: str | None = None
+) -> DataFrame:
+    """One row per key: the one with the greatest `newest` columns, nulls being the least.
 
-    `max_by` is combined before the shuffle, so a key with very many rows sends
-    one row per task.
+    Rows are numbered where they are written. The number of each key's newest row comes
+    from hash aggregates over the key and the `newest` columns alone, which are combined
+    before the shuffle, so a key with very many rows sends one row per task; whole rows
+    move once, to meet the numbers that were chosen. `row` names a column that already
+    numbers the rows of a written table; without it the rows are written here.
     """
-    whole = F.struct(*[F.col(c) for c in df.columns])
-    order = F.struct(*[F.col(c) for c in newest])
-    return df.groupBy(*keys).agg(F.max_by(whole, order).alias("_row")).select("_row.*")
+    columns = df.columns
+    if row is None:
+        row = _ROW
+        df = cut_lineage(df.withColumn(row, F.monotonically_increasing_id()))
+    *earlier, last = newest
+    if df.schema[last].dataType.typeName() in ("string", "binary", "struct", "array"):
+        earlier, last = newest, row  # a hash aggregate cannot hold such values
+    left = df.select(*dict.fromkeys([*keys, *newest, row]))
+    for column in earlier:
+        best = left.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(column).alias("_best"))
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+        left = left.join(best, reduce(Column.__and__, same, F.col(column).eqNullSafe(F.col("_best"))), "left_semi")
+    chosen = left.groupBy(*keys).agg(
+        F.coalesce(F.max_by(row, last), F.max(row)).alias(row)).select(row)
+    return df.join(chosen, row, "left_semi").select(*columns)

@@ -7,6 +7,8 @@ only ids that are *not* known travel back to the orders that mention them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,20 +106,42 @@ def _raw_item(item: Column, position: Column) -> Column:
     )
 
 
-def _typed_item(raw: Column) -> Column:
+def _with(item: Column, names: list[str], **more: Column) -> Column:
+    return F.struct(*[item[n].alias(n) for n in names], *[c.alias(n) for n, c in more.items()])
+
+
+_RAW = ["position", "is_object", "product_id", "quantity_kind", "quantity", "price_kind", "price"]
+
+
+def _plain_item(raw: Column) -> Column:
+    """Nearly all quantities and prices are plain amounts, which one pattern settles."""
+    return _with(raw, _RAW, plain_quantity=v.plain_amount(raw["quantity"]), plain_price=v.plain_amount(raw["price"]))
+
+
+def _split_item(item: Column) -> Column:
+    """All other numbers are split once; every rule below reads the parts."""
+    return _with(
+        item, [*_RAW, "plain_quantity", "plain_price"],
+        quantity_parts=F.when(item["plain_quantity"].isNull(), v.number_parts(item["quantity"])),
+        price_parts=F.when(item["plain_price"].isNull(), v.number_parts(item["price"])),
+    )
+
+
+def _typed_item(item: Column) -> Column:
     """Amounts and whole quantities; null where the value is refused.
 
     A quantity must be a JSON number without a fraction; text is refused.
     """
-    numeric = raw["quantity_kind"].isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+    numeric = item["quantity_kind"].isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+    priced = ~item["price_kind"].isin("BOOLEAN", "VOID")
+    price = item["plain_price"], item["price_parts"]
     return F.struct(
-        raw["position"].alias("position"),
-        raw["is_object"].alias("is_object"),
-        F.when(raw["is_object"], raw["product_id"]).alias("product_id"),
-        F.when(numeric, v.whole_number(raw["quantity"])).alias("quantity"),
-        F.when(~raw["price_kind"].isin("BOOLEAN", "VOID"), v.money(raw["price"]))
-        .alias("unit_price"),
-        (~raw["price_kind"].isin("BOOLEAN", "VOID") & v.too_large(raw["price"])).alias("too_dear"),
+        item["position"].alias("position"),
+        item["is_object"].alias("is_object"),
+        F.when(item["is_object"], item["product_id"]).alias("product_id"),
+        F.when(numeric, v.whole_number_of(item["plain_quantity"], item["quantity_parts"])).alias("quantity"),
+        F.when(priced, v.money_of(*price)).alias("unit_price"),
+        (priced & v.too_large_of(*price)).alias("too_dear"),
     )
 
 
@@ -125,40 +149,60 @@ def read_orders(docs: DataFrame, event: str = "event") -> DataFrame:
     """Normalises order documents (a variant column) into flat header columns and `lines`."""
     doc = F.col(event)
     items = F.try_variant_get(doc, "$.items", "array<variant>")
-    return docs.withColumns(
+    return with_columns_once(
+        docs,
         {
             "order_id": _text_of(doc, "order_id"),
             "customer_id": _text_of(doc, "customer_id"),
             "status": F.lower(_text_of(doc, "status")),
             "channel": F.lower(_text_of(doc, "channel")),
             "_ordered_at": _text_of(doc, "ordered_at"),
-            "lines": F.transform(F.transform(items, _raw_item), _typed_item),
+            # Each step is an array of its own, so nothing is computed twice.
+            "lines": reduce(F.transform, [_raw_item, _plain_item, _split_item, _typed_item], items),
             "payload": F.to_json(doc),
         }
     ).withColumn("ordered_at", v.moment(F.col("_ordered_at"))).drop("_ordered_at")
 
 
+def _doc_id(payload: Column) -> Column:
+    return F.sha2(payload, 256)
+
+
+def _mentions(docs: DataFrame, event: str) -> DataFrame:
+    """Only what the lookups need of a document: its digest and the ids it mentions."""
+    doc = F.col(event)
+    items = F.try_variant_get(doc, "$.items", "array<variant>")
+    return docs.select(
+        _doc_id(F.to_json(doc)).alias("doc_id"),
+        _text_of(doc, "customer_id").alias("customer_id"),
+        F.array_distinct(F.transform(
+            items, lambda item: F.when(kind(item) == "OBJECT", _text_of(item, "product_id")))).alias("product_ids"),
+    )
+
+
 def unknown_ids(mentioned: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Distinct ids that are mentioned but not known. Deduplicating first means a
     hot id crosses the network once per task."""
     return mentioned.select(key).distinct().join(known.select(key), key, "left_anti")
 
 
-def _mark_unknown(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+def _mark_unknown(
+    orders: DataFrame, mentions: DataFrame, customers: DataFrame, products: DataFrame
+) -> DataFrame:
     """Adds `customer_unknown` and `unknown_products` (array) to normalised orders.
 
     The lookups are written tables, so their size in bytes decides how they are joined.
     """
-    strangers = cut_lineage(unknown_ids(orders, customers, "customer_id"))
+    strangers = cut_lineage(unknown_ids(mentions, customers, "customer_id"))
     orders = orders.join(
         strangers.withColumn("customer_unknown", F.lit(True)), "customer_id", "left"
     )
-    mentions = orders.select(
-        "doc_id", F.explode(F.array_distinct("lines.product_id")).alias("product_id")
-    ).filter(F.col("product_id").isNotNull())
-    missing = cut_lineage(unknown_ids(mentions, products, "product_id"))
+    named = mentions.select("doc_id", F.explode("product_ids").alias("product_id")).filter(
+        F.col("product_id").isNotNull()
+    )
+    missing = cut_lineage(unknown_ids(named, products, "product_id"))
     per_order = cut_lineage(
-        mentions.join(missing, "product_id")
+        named.join(missing, "product_id")
         .groupBy("doc_id")
         .agg(F.collect_set("product_id").alias("unknown_products"))
     )
@@ -229,12 +273,12 @@ def validate_order(
 
     One bad line refuses the whole order. `now` is an ISO text or a datetime, the
     same for all records of a run. Documents are matched by a digest of their
-    content, so equal copies simply share the answer. The parsed orders are written
-    once: three small lookups and the final verdict read them.
+    content, so equal copies simply share the answer. Only the ids that documents
+    mention are written for the lookups; the orders themselves pass through once.
     """
-    parsed = read_orders(docs, event).withColumn("doc_id", F.sha2("payload", 256))
-    orders = cut_lineage(parsed.drop(event))
-    marked = _mark_unknown(orders, customers, products).withColumn("_ids", F.col("lines.product_id"))
+    mentions = cut_lineage(_mentions(docs, event))
+    orders = read_orders(docs, event).withColumn("doc_id", _doc_id(F.col("payload"))).drop(event)
+    marked = _mark_unknown(orders, mentions, customers, products).withColumn("_ids", F.col("lines.product_id"))
     return with_columns_once(
         marked, {"reasons": order_reasons(now), "record_id": _record_id("order_id")}
     ).drop("doc_id", "customer_unknown", "unknown_products", "_ids")

@@ -6,13 +6,14 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from tallymart.operators import landing as lz
+from tallymart.operators.key_filter import parts_that_may_hold
 from tallymart.operators.keyed import (
     newest_rejections,
-    record_rejections,
+    rejection_entries,
     replace_children,
     touched_parts,
     upsert,
@@ -63,32 +64,42 @@ def _parts_of(rows: DataFrame, part: F.Column) -> list[date]:
     return [row[0] for row in rows.select(part.alias("_part")).distinct().collect()]
 
 
+def parts_of_keys(snap: Snapshot, name: str, changed: DataFrame, keys: list[str]) -> list:
+    """The parts of a table that hold a key of `changed`.
+
+    Filters say which parts may; only of these the keys are read.
+    """
+    filters, bare = snap.filters(name)
+    passed = set() if filters is None else parts_that_may_hold(filters, changed, keys)
+    candidates = set(snap.parts(name)) if passed is None else passed | bare
+    if not candidates:
+        return []
+    return touched_parts(snap.table(name, candidates), changed, keys, snap.part(name))
+
+
 def _rejection_change(
     snap: Snapshot, batches: list[tuple[str, DataFrame, DataFrame]], now: datetime
 ) -> Rewrite:
-    """New rejections table, limited to the parts that hold a cleared or replaced record.
+    """A new part of the log of rejections; no earlier one is read.
 
     `batches`: (source, accepted record ids, newest rejections).
     """
-    name = "rejected_records"
-    keyed = reduce(
-        DataFrame.unionByName,
-        [
-            accepted.select("record_id")
-            .union(refused.select("record_id"))
-            .select(F.lit(source).alias("source"), "record_id")
-            for source, accepted, refused in batches
-        ],
-    )
-    today = snap.spark.range(1).select(F.to_date(_lit(now)).alias("rejected_date"))
-    parts = _union(
-        touched_parts(snap.table(name), keyed, ["source", "record_id"], snap.part(name)),
-        _parts_of(today, snap.part(name)),
-    )
-    rows = snap.table(name, parts)
-    for source, accepted, refused in batches:
-        rows = record_rejections(rows, source, accepted, refused, _lit(now))
-    return Rewrite(rows, parts)
+    run = snap.version + 1
+    entries = [rejection_entries(source, accepted, refused, _lit(now), run)
+               for source, accepted, refused in batches]
+    return Rewrite(reduce(DataFrame.unionByName, entries), [str(run)])
+
+
+@releases_scratch
+def compact_rejections(store: Store, runs: int = 32) -> int:
+    """Once the log has that many parts, one part with the rejections that stand replaces
+    them. Returns the parts that are left."""
+    snap = store.snapshot()
+    if len(snap.parts("rejection_log")) >= runs:
+        standing = snap.table("rejected_records").withColumns(
+            {"refused": F.lit(True), "run": F.lit(snap.version + 1).cast("long")})
+        snap = store.publish(snap, {"rejection_log": Rewrite(standing)})
+    return len(snap.parts("rejection_log"))
 
 
 # ---------------------------------------------------------------- reference
@@ -116,7 +127,7 @@ def load_reference(store: Store, config: Config) -> dict[str, int]:
         batches.append((name, newest.select(F.col(key).alias("record_id")), refused))
         counts[name] = newest.count()
         counts["rejected"] += rejected.count()
-    changes["rejected_records"] = _rejection_change(snap, batches, now)
+    changes["rejection_log"] = _rejection_change(snap, batches, now)
     store.publish(snap, changes)
     return counts
 
@@ -141,7 +152,7 @@ def ingest(
     batch = cut_lineage(lz.newest_of_batch(accepted, _lit(ingested_at)))
     part = snap.part("landing")
     parts = _union(
-        touched_parts(snap.table("landing"), batch, ["order_id"], part), _parts_of(batch, part)
+        parts_of_keys(snap, "landing", batch, ["order_id"]), _parts_of(batch, part)
     )
     # The touched parts hold every earlier version of the batch's orders.
     rows = lz.land(snap.table("landing", parts), batch)
@@ -175,38 +186,49 @@ def load_orders(
     parts = parts_since(snap.parts("landing"), position)
     arrived = read_since(snap.table("landing", parts), position).hint("rebalance")
     fresh = parse_events(arrived, "doc").drop("order_id")
-    judged = cut_lineage(
-        validate_order(
-            fresh, snap.table("customers"), snap.table("products"), _lit(now)
-        ).drop("doc", "first_seen_at", "ingested_date")
+    judged = validate_order(
+        fresh, snap.table("customers"), snap.table("products"), _lit(now)
+    ).drop("doc", "first_seen_at", "ingested_date").withColumns(
+        {
+            "valid": F.size("reasons") == 0,
+            "order_date": F.to_date("ordered_at"),
+            "_tie": F.xxhash64("payload"),
+            "_row": F.monotonically_increasing_id(),
+        }
     )
-    valid, rejected = split(judged)
-    totals = judged.agg(
-        F.count("*").alias("read"),
-        F.count_if(F.size("reasons") == 0).alias("loaded"),
-        F.max("ingested_at").alias("position"),
-    ).first()
+    # The one written copy of the batch: counted while it is written, valid and refused
+    # orders in folders of their own.
+    seen = Observation()
+    routed = cut_lineage(
+        judged.observe(
+            seen,
+            F.count(F.lit(1)).alias("read"),
+            F.count_if("valid").alias("loaded"),
+            F.max("ingested_at").alias("position"),
+        ),
+        by="valid",
+    )
+    totals = seen.get
     if not totals["read"]:
         return {"read": 0, "loaded": 0, "rejected": 0}
+    valid, rejected = routed.filter("valid"), routed.filter("NOT valid")
 
-    newest = cut_lineage(
-        latest_per_key(valid, ["order_id"], ["ingested_at", "payload"]).withColumns(
-            {"loaded_at": _lit(now), "order_date": F.to_date("ordered_at")}
-        )
+    newest = latest_per_key(valid, ["order_id"], ["ingested_at", "_tie"], row="_row").withColumn(
+        "loaded_at", _lit(now)
     )
     part = snap.part("orders")
     parts = _union(
-        touched_parts(snap.table("orders"), newest, ["order_id"], part), _parts_of(newest, part)
+        parts_of_keys(snap, "orders", valid, ["order_id"]), _parts_of(newest, part)
     )
     refused = newest_rejections(
-        rejections(rejected, "orders", ["ingested_at"]), ["ingested_at"]
-    ).drop("ingested_at")
+        rejections(rejected, "orders", ["ingested_at", "_row"]), ["ingested_at"], row="_row"
+    ).drop("ingested_at", "_row")
     accepted = valid.select("record_id")
     mark = store.spark.createDataFrame([Row(source=ORDERS_SOURCE)]).select(
         "source", F.lit(totals["position"]).alias("position"), _lit(now).alias("updated_at")
     )
     changes = {
-        "rejected_records": _rejection_change(
+        "rejection_log": _rejection_change(
             snap, [("orders", accepted, refused)], now
         ),
         "watermarks": Rewrite(upsert(snap.table("watermarks"), mark, ["source"])),
@@ -260,6 +282,7 @@ def run_all(store: Store, config: Config) -> dict[str, dict[str, int]]:
     return {
         "load_reference": load_reference(store, config),
         "load_orders": load_orders(store, config),
+        "compact_rejections": {"parts": compact_rejections(store)},
         "build_warehouse": build_warehouse(store),
         "check_quality": check_quality(store, config),
         "refresh_marts": refresh_marts(store),

@@ -479,8 +479,9 @@ def rejections_after_correction(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("orders").alias("source"), F.col("order_id").alias("record_id"),
         F.array(F.lit("unknown channel web")).alias("reasons"), F.lit("{}").alias("payload"),
     )
-    after = keyed.record_rejections(start, "orders", accepted, again, second)
-    return after.select("source", "record_id", "reasons", "rejected_at")
+    earlier = start.withColumns({"refused": F.lit(True), "run": F.lit(1).cast("long")})
+    log = earlier.unionByName(keyed.rejection_entries("orders", accepted, again, second, 2))
+    return keyed.current_rejections(log).select("source", "record_id", "reasons", "rejected_at")
 
 
 # --------------------------------------------------------------------- checks

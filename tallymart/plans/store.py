@@ -7,7 +7,9 @@ fails before publishing changes nothing; a run that started from an older manife
 is refused. Parts that a run did not touch keep their old folder.
 
 A part is a month by default. Use `grain="day"` where a month of data is more than
-a run should rewrite.
+a run should rewrite, and `buckets` to cut the parts of orders and their lines further
+by order, so that a correction of few orders reads and rewrites only their buckets.
+Parts of tables that are looked up by key keep a filter of their keys in `filters/`.
 """
 
 from __future__ import annotations
@@ -22,8 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymart.operators.key_filter import build_filters
+from tallymart.operators.keyed import current_rejections
 from tallymart.plans.star import Star
-from tallymart.schemas import DAILY, TABLES
+from tallymart.schemas import BUCKETED, BY_RUN, DAILY, FILTERED, TABLES
+
+# Tables that follow from another one: name -> (that table, how)
+VIEWS = {"rejected_records": ("rejection_log", current_rejections)}
 
 
 class StaleSnapshot(RuntimeError):
@@ -38,7 +45,7 @@ class Rewrite:
     """
 
     rows: DataFrame
-    parts: list[date] | None = None
+    parts: list[date | str] | None = None
     cluster: tuple[str, ...] = ()
 
 
@@ -55,6 +62,7 @@ class Snapshot:
     tables: dict[str, dict]
     meta: dict = field(default_factory=dict)
     grain: str = "month"
+    buckets: int = 1
     _frames: dict = field(default_factory=dict, repr=False, compare=False)
 
     def parts(self, name: str) -> dict[str, str]:
@@ -62,17 +70,25 @@ class Snapshot:
         return self.tables.get(name, {}).get("parts", {})
 
     def part(self, name: str) -> Column:
-        """The part a row of the table belongs to."""
-        return part_of(TABLES[name][1], "day" if name in DAILY else self.grain)
+        """The part a row of the table belongs to: its date, and with buckets a number behind it."""
+        if name in BY_RUN:
+            return F.col(TABLES[name][1]).cast("string")
+        day = part_of(TABLES[name][1], "day" if name in DAILY else self.grain)
+        if self.buckets == 1 or name not in BUCKETED:
+            return day
+        bucket = F.pmod(F.xxhash64(BUCKETED[name]), F.lit(self.buckets)).cast("string")
+        return F.concat(day.cast("string"), F.lit("~"), F.lpad(bucket, 5, "0"))
 
     def __contains__(self, name: str) -> bool:
-        return name in self.tables
+        return name in self.tables or name in VIEWS
 
-    def table(self, name: str, parts: Collection[date] | None = None) -> DataFrame:
+    def table(self, name: str, parts: Collection[date | str] | None = None) -> DataFrame:
         """A table, or only some of its parts; other parts are not even listed."""
         if parts is None:
             if name not in self._frames:
-                self._frames[name] = self._read(name, self.parts(name))
+                source, view = VIEWS.get(name, (name, None))
+                rows = self._read(source, self.parts(source))
+                self._frames[name] = view(rows) if view else rows
             return self._frames[name]
         wanted = {str(p) for p in parts}
         return self._read(name, {k: v for k, v in self.parts(name).items() if k in wanted})
@@ -91,6 +107,21 @@ class Snapshot:
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
         return rows.select(*schema.fieldNames())
 
+    def filters(self, name: str) -> tuple[DataFrame | None, set[str]]:
+        """The key filters of a table, and the parts that have none."""
+        kept = set(self.tables.get(name, {}).get("filtered", []))
+        live = self.parts(name)
+        folders = sorted(kept & set(live.values()))
+        bare = {part for part, folder in live.items() if folder not in kept}
+        if not folders:
+            return None, bare
+        # A folder may hold filters of parts that were rewritten since.
+        paths = [f"{self.base}/filters/{name}/{folder}" for folder in folders]
+        folder = F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+$", 1)
+        rows = self.spark.read.parquet(*paths).where(
+            F.concat("part", F.lit("/"), folder).isin([f"{p}/{f}" for p, f in live.items()]))
+        return rows, bare
+
     def star(self) -> Star:
         return Star(
             *[self.table(t) for t in ("fact_order_items", "dim_date", "dim_customer", "dim_product")],
@@ -101,12 +132,12 @@ class Snapshot:
 
 
 class Store:
-    def __init__(self, spark: SparkSession, base: str, grain: str = "month"):
+    def __init__(self, spark: SparkSession, base: str, grain: str = "month", buckets: int = 1):
         if not base:
             raise ValueError("a target path must be set")
         if grain not in ("day", "month", "year"):
             raise ValueError("grain is day, month or year")
-        self.spark, self.base, self.grain = spark, base.rstrip("/"), grain
+        self.spark, self.base, self.grain, self.buckets = spark, base.rstrip("/"), grain, buckets
         jvm = spark._jvm
         self._fs_types = jvm.org.apache.hadoop.fs
         self._conf = spark._jsc.hadoopConfiguration()
@@ -124,15 +155,15 @@ class Store:
     def snapshot(self) -> Snapshot:
         published = [n for n in self._names(f"{self.base}/manifests") if n.endswith(".json")]
         if not published:
-            return Snapshot(self.spark, self.base, 0, {}, {}, self.grain)
+            return Snapshot(self.spark, self.base, 0, {}, {}, self.grain, self.buckets)
         newest = max(published)
         text = self.spark.read.text(f"{self.base}/manifests/{newest}", wholetext=True).first()[0]
         manifest = json.loads(text)
-        grain = manifest["meta"]["grain"]
-        if grain != self.grain:
-            raise ValueError(f"these tables are laid out by {grain}")
+        grain, buckets = manifest["meta"]["grain"], manifest["meta"].get("buckets", 1)
+        if (grain, buckets) != (self.grain, self.buckets):
+            raise ValueError(f"these tables are laid out by {grain}, in buckets: {buckets}")
         return Snapshot(
-            self.spark, self.base, manifest["version"], manifest["tables"], manifest["meta"], grain
+            self.spark, self.base, manifest["version"], manifest["tables"], manifest["meta"], grain, buckets
         )
 
     def init(self) -> Snapshot:
@@ -179,11 +210,20 @@ class Store:
         kept = {} if change.parts is None else dict(base.parts(name))
         for value in change.parts or []:
             kept.pop(str(value), None)
-        return {**entry, "parts": {**kept, **{value: folder for value in written}}}
+        parts = {**kept, **{value: folder for value in written}}
+        if name not in FILTERED:
+            return {**entry, "parts": parts}
+        if written:
+            keys = self.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("part", T.StringType())]))
+            build_filters(keys.parquet(path), FILTERED[name], F.col("part")).write.parquet(
+                f"{self.base}/filters/{name}/{folder}")
+        earlier = set(base.tables.get(name, {}).get("filtered", []))
+        filtered = sorted((earlier | ({folder} if written else set())) & set(parts.values()))
+        return {**entry, "parts": parts, "filtered": filtered}
 
     def _publish(self, base: Snapshot, tables: dict, meta: dict) -> Snapshot:
         version = base.version + 1
-        merged = {**base.meta, **meta, "grain": self.grain}
+        merged = {**base.meta, **meta, "grain": self.grain, "buckets": self.buckets}
         text = json.dumps({"version": version, "tables": tables, "meta": merged})
         folder = f"{self.base}/manifests"
         draft = self._path(f"{folder}/.{uuid.uuid4().hex}.draft")
@@ -202,4 +242,4 @@ class Store:
             if "FileAlreadyExists" in str(error):
                 raise StaleSnapshot(f"version {version} is already published") from error
             raise
-        return Snapshot(self.spark, self.base, version, tables, merged, self.grain)
+        return Snapshot(self.spark, self.base, version, tables, merged, self.grain, self.buckets)

@@ -123,12 +123,13 @@ def build_warehouse(store: Store, full: bool = False) -> dict[str, int]:
     changes = {name: Rewrite(rows) for name, rows in fresh.items()}
     if stale:
         lines, orders = (snap.table(t, stale) for t in ("order_items", "orders"))
-        # The first and the last order lie in the first and the last part.
-        ends = [min(snap.parts("orders")), max(snap.parts("orders"))] if snap.parts("orders") else []
+        # The first and the last order lie in the parts of the first and the last date.
+        days = sorted({p[:10] for p in snap.parts("orders")})
+        ends = [p for p in snap.parts("orders") if p[:10] in (days[0], days[-1])]
         changes["dim_date"] = Rewrite(dim_date(snap.table("orders", ends), snap.table("dim_date")))
         changes["fact_order_items"] = Rewrite(
             fact_rows(lines, orders, products, customers),
-            [date.fromisoformat(p) for p in stale],
+            stale,
         )
     after = store.publish(snap, changes)
     fact = after.parts("fact_order_items")

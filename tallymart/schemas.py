@@ -32,6 +32,9 @@ REJECTED_RECORDS = _table(
     ("source", TEXT), ("record_id", TEXT), ("reasons", T.ArrayType(TEXT)), ("payload", TEXT),
     ("rejected_at", MOMENT), ("rejected_date", DATE),
 )
+# Every run adds its entries; what stands is the newest entry of each record.
+REJECTION_LOG = T.StructType([
+    *REJECTED_RECORDS.fields, T.StructField("refused", FLAG, True), T.StructField("run", LONG, True)])
 REFUSED_EVENTS = _table(
     ("position", TEXT), ("errors", T.ArrayType(TEXT)), ("text", TEXT), ("refused_at", MOMENT),
     ("refused_date", DATE),
@@ -82,7 +85,7 @@ TABLES: dict[str, tuple[T.StructType, str | None]] = {
     "landing": (LANDING, "ingested_date"),
     "refused_events": (REFUSED_EVENTS, "refused_date"),
     "watermarks": (WATERMARKS, None),
-    "rejected_records": (REJECTED_RECORDS, "rejected_date"),
+    "rejection_log": (REJECTION_LOG, "run"),
     "quality_results": (QUALITY_RESULTS, None),
     "customers": (CUSTOMERS, None),
     "products": (PRODUCTS, None),
@@ -115,7 +118,13 @@ TABLES.update({
     for name, schema in EXPORTS.items()
 })
 LOADED_CLUSTER = {"fact_order_items": ("customer_key", "product_key")}
+# Laid out by day, and by run.
 DAILY = {"loaded_fact_order_items"}
+BY_RUN = {"rejection_log"}
+# Parts of these tables can be cut further by a hash of the order.
+BUCKETED = {"orders": "order_id", "order_items": "order_id", "fact_order_items": "order_id"}
+# Each part of these tables keeps a filter of its keys.
+FILTERED = {"landing": ["order_id"], "orders": ["order_id"]}
 
 NEVER_NULL = {
     "customers": [f.name for f in CUSTOMERS],

@@ -56,18 +56,21 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     """Writes `df` once as a table under the checkpoint folder and reads it back.
 
+    With `by`, rows go to a folder per value of that column, so that a filter on it
+    reads only its own.
+
     Used where one expensive input feeds several jobs, or where a result that
     depends on the physical layout must not be computed twice. Parquet keeps
     column pruning, cheap counts and a known size for the joins that follow.
     """
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     _created().append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 _LOCAL = threading.local()

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.operators.shape import parse_events
+from tallymart.sources.split_csv import is_split, parse_records, read_records
 
 OVERLAP_MINUTES = 5
 OVERLAP = f"{OVERLAP_MINUTES} minutes"
@@ -27,21 +28,28 @@ def _input_order() -> Column:
 def read_reference(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header; every column stays text. Adds `_order`, the input order.
 
-    A field may hold line breaks, so a file is parsed from its start, in one task.
-    Pass `multi_line=False` for files known to hold none: they are split over tasks.
+    A field may hold line breaks. Files larger than a split are cut into records by the
+    quotes before each line (see `split_csv`); files that quotes do not cut safely, and
+    files of one split, are parsed from their start. Pass `multi_line=False` for files
+    known to hold no line breaks: they are split as they are.
     """
+    options = {"escape": '"', "encoding": "UTF-8"}
     reader = (
-        spark.read.option("header", True)
-        .option("escape", '"')
+        spark.read.options(**options)
+        .option("header", True)
         .option("enforceSchema", False)
-        .option("encoding", "UTF-8")
         .option("multiLine", multi_line)
     )
-    rows = reader.csv(path)
+    rows = reader.csv(path).withColumn("_order", _input_order())
+    if multi_line and is_split(spark, path):
+        records = read_records(spark, path)
+        if records is not None:
+            parsed = parse_records(records, [c for c in rows.columns if c != "_order"], options)
+            rows = rows if parsed is None else parsed
     first = rows.columns[0]
-    if first.startswith("﻿"):
-        rows = rows.withColumnRenamed(first, first.lstrip("﻿"))
-    return rows.withColumn("_order", _input_order())
+    if first.startswith("\ufeff"):
+        rows = rows.withColumnRenamed(first, first.lstrip("\ufeff"))
+    return rows
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:

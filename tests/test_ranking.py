@@ -62,3 +62,22 @@ def test_latest(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 2, "z")], "k string, n int, v string")
     assert sorted(map(tuple, latest_per_key(rows, ["k"], ["n"]).collect())) == [
         ("a", 3, "y"), ("b", 2, "z")]
+
+
+def test_latest_rows_of_nulls_ties_and_texts(spark):
+    rows = [(1, None, "a", 1), (1, 3, None, 2), (1, 3, "b", 3), (None, None, None, 4), (2, None, "x", 5), (2, None, "y", 6),
+            (3, 7, "z", 7), (3, 7, "z", 7)]
+    frame = spark.createDataFrame(rows, "k int, n int, t string, v int").repartition(3)
+    got = {r.k: r.v for r in latest_per_key(frame, ["k"], ["n", "t"]).collect()}
+    assert got == {1: 3, None: 4, 2: 6, 3: 7}
+    assert latest_per_key(frame, ["k"], ["n", "t"]).count() == 4
+    assert latest_per_key(frame.filter("k > 9"), ["k"], ["n"]).count() == 0
+
+
+def test_latest_rows_move_once(spark):
+    """Hash aggregates only, and no exchange of whole rows before the newest are known."""
+    frame = spark.createDataFrame([(k % 5, k, "text" * 9) for k in range(50)], "k int, n long, wide string")
+    plan = latest_per_key(frame, ["k"], ["n"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    before = plan[plan.index("HashAggregate"):]
+    assert "wide" not in before.split("Exchange", 1)[1]
