@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallymart.llm import (alignment, doubling, factorisation, hilbert_pack, kdtree, mixture, ngram_join, pii,
-                           quality_rules, repair, suffix_arrays, warc)
+                           quality_rules, repair, suffix_arrays, toxicity, warc)
 
 LLM_QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -16,6 +16,7 @@ LLM_QUERIES = {
     "op8_suffix_array_dedup": suffix_arrays.op8_suffix_array_dedup,
     "op9_disclosing_terms": pii.op9_disclosing_terms,
     "op10_kd_tree_top_k": kdtree.op10_kd_tree_top_k,
+    "op11_toxicity_trees": toxicity.op11_toxicity_trees,
     "op12_conversation_repair": repair.op12_conversation_repair,
     "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
