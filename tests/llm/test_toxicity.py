@@ -90,7 +90,7 @@ def test_sample_keeps_its_bound(spark):
 
 def test_features():
     made = toxicity.Features({"zork": 2.0, "vequ-": 1.5})
-    names = dict(zip(made.NAMES, made.of("You IDIOT!! zork, vequmo vequmo z0rk s c u m i...d zoooork #$ plain words here too"), strict=True))
+    names = dict(zip(made.NAMES, made.of("You IDIOT!! zork, vequmo vequmo z0rk s c a m i...d zoooork #$ plain words here too"), strict=True))
     n = 17
     assert names["insults"] == pytest.approx(100 / n)
     assert names["words"] == pytest.approx(200 / n) and names["heaviest_word"] == 2
