@@ -566,3 +566,82 @@ O["rejections_after_correction"] = with_star("""
            || ' 00:00:00.000000' AS rejected_at
   FROM ord WHERE (channel = 'web' AND status <> 'placed')
      OR (channel = 'mobile' AND status IN ('cancelled', 'returned'))""")
+
+KNOWN = "known AS (SELECT * FROM person WHERE c_mktsegment <> 'MACHINERY')"
+SOLD = "sold AS (SELECT * FROM good WHERE p_size <= 45)"
+DAYS = "days AS (SELECT date_diff('day', min(order_date), max(order_date)) + 1 AS n FROM good_orders)"
+REFUSED = "(SELECT count(*) AS n FROM rejected)"
+O["pipeline_status"] = with_star(
+    "SELECT 'orders_loaded_up_to' AS part, 'orders' AS name, CAST(NULL AS BOOLEAN) AS passed, "
+    "'2001-01-01 00:00:00' AS value UNION ALL "
+    f"SELECT 'rejected', 'orders', NULL, CAST(n AS VARCHAR) FROM {REFUSED} UNION ALL "
+    "SELECT 'checks', check_name, passed, observed FROM ("
+    + CHECK_ROWS.format(items="good_lines", fact="good_fact", people="known") + ")", JUDGED, KNOWN)
+O["quality_gate"] = with_star("""
+  SELECT check_name, NOT passed AS stops, observed FROM (""" + CHECK_ROWS.format(
+    items="item", fact="hurt", people="person") + ")", """
+hurt AS (SELECT * REPLACE (CASE WHEN order_id LIKE '%7' THEN -quantity ELSE quantity END AS quantity,
+                           CASE WHEN order_id LIKE '%3' THEN 99991231 ELSE date_key END AS date_key) FROM fact)""")
+O["loaded_days"] = with_star(FACT_OUT.format(p="").replace("CAST(revenue AS DOUBLE)", "CAST(revenue * CASE WHEN year(order_date) = 1995 THEN 2 ELSE 1 END AS DOUBLE)")
+                             + " WHERE order_date BETWEEN DATE '1994-12-01' AND DATE '1995-01-31'")
+
+
+def _counts(rows: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT {names}, {n} AS n" for names, n in rows.items())
+
+
+LOADED = {  # rows of every table after a whole run
+    "customers": "(SELECT count(*) FROM known)", "products": "(SELECT count(*) FROM sold)",
+    "orders": "(SELECT count(*) FROM good_orders)", "order_items": "(SELECT count(*) FROM good_lines)",
+    "dim_date": "(SELECT n FROM days)", "dim_customer": "(SELECT count(*) FROM known)",
+    "dim_product": "(SELECT count(*) FROM sold)", "fact_order_items": "(SELECT count(*) FROM good_fact)",
+    "landing": "(SELECT count(*) FROM door)", "refused_events": "0", "watermarks": "1", "quality_results": "6",
+    "rejected_records": "(SELECT count(*) FROM rejected)", "loaded_dim_date": "0", "loaded_dim_customer": "0",
+    "loaded_dim_product": "0", "loaded_fact_order_items": "0",
+}
+O["initial_tables"] = with_star("SELECT table_name, begins_empty, n AS rows FROM (" + _counts(
+    {f"'{t}' AS table_name, true AS begins_empty": n for t, n in LOADED.items()}) + ")", JUDGED, KNOWN, SOLD, DAYS)
+O["run_report"] = with_star("SELECT step, counted, n FROM (" + _counts({
+    f"'{step}' AS step, '{name}' AS counted": n for step, name, n in (
+        ("load_reference", "customers", LOADED["customers"]), ("load_reference", "products", LOADED["products"]),
+        ("load_reference", "rejected", "0"), ("load_orders", "read", LOADED["landing"]),
+        ("load_orders", "loaded", LOADED["orders"]), ("load_orders", "rejected", LOADED["rejected_records"]),
+        ("compact_rejections", "parts", "2"), ("build_warehouse", "fact_rows", LOADED["fact_order_items"]),
+        ("build_warehouse", "parts_rebuilt", "(SELECT count(DISTINCT date_trunc('month', order_date)) FROM good_orders)"),
+        ("check_quality", "checks", "6"), ("refresh_marts", "marts", "4"))}) + ")", JUDGED, KNOWN, SOLD)
+NOT_NULL = {  # the columns that the contract declares as not null
+    "customers": "customer_id name email country signup_date loaded_at",
+    "products": "product_id name category unit_cost list_price loaded_at",
+    "orders": "order_id customer_id status channel ordered_at loaded_at order_date",
+    "order_items": "order_id product_id quantity unit_price order_date",
+    "dim_date": "date_key full_date year quarter month month_name day_of_week is_weekend",
+    "dim_customer": "customer_key customer_id name email country signup_date",
+    "dim_product": "product_key product_id name category unit_cost list_price",
+    "fact_order_items": "order_id product_key customer_key date_key status channel quantity unit_price revenue cost "
+                        "margin order_date",
+    "watermarks": "source position updated_at",
+    "rejected_records": "source record_id reasons payload rejected_at",
+    "quality_results": "check_name passed observed checked_at",
+}
+KEYS = {
+    "customers": "customer_id", "products": "product_id", "orders": "order_id", "order_items": "order_id_product_id",
+    "dim_date": "date_key full_date", "dim_customer": "customer_key customer_id",
+    "dim_product": "product_key product_id", "fact_order_items": "order_id_product_key", "watermarks": "source",
+    "rejected_records": "source_record_id",
+}
+O["declared_constraints"] = with_star(
+    "SELECT name AS check_name, true AS passed, seen AS observed FROM (" + " UNION ALL ".join([
+        *[f"SELECT 'not_null_{t}_{c}' AS name, '0 rows' AS seen" for t, cs in NOT_NULL.items() for c in cs.split()],
+        *[f"SELECT 'unique_{t}_{k}', {LOADED[t]} || ' rows, ' || {LOADED[t]} || ' distinct'"
+          for t, ks in KEYS.items() for k in ks.split()],
+        *[f"SELECT 'foreign_key_{x}', '0 orphan rows'" for x in (
+            "order_items_order_id", "fact_order_items_product_key", "fact_order_items_customer_key",
+            "fact_order_items_date_key")],
+    ]) + ")", JUDGED, KNOWN, SOLD, DAYS)
+O["snapshot_contract"] = with_star("""
+  SELECT 'dim_date' AS table_name, count(*) AS rows, 'dim_date: column is_weekend is missing' AS missing FROM cal
+  UNION ALL SELECT 'dim_customer', count(*), '' FROM person
+  UNION ALL SELECT 'dim_product', 0, 'dim_product: missing'
+  UNION ALL SELECT 'fact_order_items', count(*), '' FROM fact
+  UNION ALL SELECT 'customer_segments', count(*), '' FROM segments""", segments())
+O["missing_target"] = O["export_counts"].replace("SELECT 'dim_date' AS table_name", "SELECT *, 'a target path must be set to export; a target path must be set to export' AS refused FROM (SELECT 'dim_date' AS table_name") + ")"

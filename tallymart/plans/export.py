@@ -5,7 +5,7 @@ No export holds an e-mail address: columns are selected from declared schemas.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from tallymart.functions import values as v
 from tallymart.operators.quality import FailedChecks
 from tallymart.plans.star import Star
-from tallymart.plans.store import Rewrite, Snapshot, Store
+from tallymart.plans.store import Rewrite, Snapshot, Store, spread_by_range
+from tallymart.sources.files import read_reference
 from tallymart.schemas import EXPORT_KEYS, EXPORTS, LOADED_CLUSTER, SNAPSHOT_COLUMNS
 
 
@@ -120,6 +121,23 @@ def load(
     return after
 
 
+def load_days(spark: SparkSession, path: str, run_id: str, target: str) -> DataFrame:
+    """Days of an exported fact replace the same days at `target`; all other days stay.
+
+    The copy is laid out by day and clustered like the loaded fact. A task that fails or
+    runs twice leaves nothing behind: Spark moves whole days in once all are written.
+    """
+    fact = read_export(spark, path, run_id, {"fact_order_items": EXPORTS["fact_order_items"]})["fact_order_items"]
+    spread_by_range(fact, ["order_date", *LOADED_CLUSTER["fact_order_items"]]).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("order_date").parquet(target)
+    return loaded_days(spark, target)
+
+
+def loaded_days(spark: SparkSession, target: str) -> DataFrame:
+    schema = EXPORTS["fact_order_items"]
+    return spark.read.schema(schema).parquet(target).select(*schema.fieldNames())
+
+
 def loaded_star(snap: Snapshot) -> Star:
     tables = {t: snap.table(f"loaded_{t}") for t in EXPORTS}
     return Star(**tables)
@@ -156,6 +174,28 @@ def export_csv(star: Star, path: str) -> None:
         )
 
 
+def read_csv_snapshot(spark: SparkSession, path: str, tables: Collection[str] = tuple(SNAPSHOT_COLUMNS)) -> dict[str, DataFrame]:
+    """The tables of a written snapshot, as text."""
+    return {t: read_reference(spark, f"{path.rstrip('/')}/{t}").drop("_order") for t in tables}
+
+
+def contract_report(
+    frames: Mapping[str, DataFrame], needed: Mapping[str, list[str]] = SNAPSHOT_COLUMNS
+) -> DataFrame:
+    """One row per table that a reader needs: its rows, and what is missing."""
+    problems = check_contract(frames, needed)
+    rows = []
+    for table in needed:
+        missing = "; ".join(p for p in problems if p.startswith(f"{table}:"))
+        frame = frames.get(table)
+        if frame is None:
+            any_frame = next(iter(frames.values()))
+            frame = any_frame.limit(0)
+        rows.append(frame.agg(F.count("*").alias("rows")).select(
+            F.lit(table).alias("table_name"), "rows", F.lit(missing).alias("missing")))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def check_contract(
     frames: Mapping[str, DataFrame], needed: Mapping[str, list[str]] = SNAPSHOT_COLUMNS
 ) -> list[str]:

@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +22,10 @@ from tallymart.operators.landing import land, newest_of_batch
 from tallymart.operators.ranking import global_index, global_ntiles, global_rank, latest_per_key
 from tallymart.plans import export as ex
 from tallymart.plans import marts, measures, reports
-from tallymart.plans.pipeline import (
-    Config, check_quality, ingest, ingest_files, load_orders, load_reference, refresh_marts, watermark,
-)
+from tallymart.plans.pipeline import Config, ingest, ingest_files, load_orders, load_reference, run_all, watermark
 from tallymart.plans.star import Star, calendar
 from tallymart.plans.store import Store
-from tallymart.plans.warehouse import build_warehouse
+from tallymart.schemas import TABLES
 from tallymart.session import checkpoint_folder, cut_lineage, pin_session
 from tallymart.sources import bridge
 from tallymart.sources import bridge_docs as docs
@@ -560,6 +559,20 @@ def export_reload(spark: SparkSession, folder: str) -> DataFrame:
     return after.table("loaded_fact_order_items")
 
 
+@query
+def loaded_days(spark: SparkSession, folder: str) -> DataFrame:
+    """Days of 1995 are exported again with doubled revenue and replace the loaded ones;
+    a filter on the day then reads its folders only."""
+    path, star = scratch(spark), _export_star(spark, folder)
+    ex.export(star, f"{path}/files", "run1")
+    ex.load_days(spark, f"{path}/files", "run1", f"{path}/fact")
+    again = star.fact_order_items.filter(F.year("order_date") == 1995).withColumn(
+        "revenue", (F.col("revenue") * 2).cast("decimal(12,2)"))
+    ex.export(replace(star, fact_order_items=again), f"{path}/files", "run2")
+    loaded = ex.load_days(spark, f"{path}/files", "run2", f"{path}/fact")
+    return loaded.filter(F.col("order_date").between(F.lit("1994-12-01").cast("date"), F.lit("1995-01-31").cast("date")))
+
+
 @query
 def export_reload_monthly(spark: SparkSession, folder: str) -> DataFrame:
     """The monthly mart over a reloaded export equals the mart over the source."""
@@ -570,6 +583,28 @@ def export_reload_monthly(spark: SparkSession, folder: str) -> DataFrame:
     return marts.monthly_revenue(ex.loaded_star(ex.load(store, f"{path}/files", "run1", counts)))
 
 
+@query
+def snapshot_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """A written snapshot held against the columns its readers need: one column was left
+    out, one table is not there."""
+    path = scratch(spark)
+    ex.export_csv(_with_segments(_export_star(spark, folder)), path)
+    frames = ex.read_csv_snapshot(spark, path, [t for t in ex.SNAPSHOT_COLUMNS if t != "dim_product"])
+    return ex.contract_report({**frames, "dim_date": frames["dim_date"].drop("is_weekend")})
+
+
+@query
+def missing_target(spark: SparkSession, folder: str) -> DataFrame:
+    """An export without a target is refused before a row is written; what would have left."""
+    star, refusals = _export_star(spark, folder), []
+    for run in (ex.export, ex.export_csv):
+        try:
+            run(star, "")
+        except ValueError as refused:
+            refusals.append(str(refused))
+    return ex.export_counts(star).withColumn("refused", F.lit("; ".join(refusals)))
+
+
 @query
 def csv_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     """The CSV snapshot, read back: segment scores next to their customer."""
@@ -654,13 +689,65 @@ def whole_run(spark: SparkSession, folder: str) -> Store:
         store = Store(spark, config.base)
         store.init()
         ingest_files(store, f"{path}/events", config.run_time())
-        load_reference(store, config)
-        load_orders(store, config)
-        build_warehouse(store)
-        check_quality(store, config)
-        refresh_marts(store)
-        _RUNS[key] = store
-    return _RUNS[key]
+        _RUNS[key] = store, run_all(store, config)
+    return _RUNS[key][0]
+
+
+@query
+def run_report(spark: SparkSession, folder: str) -> DataFrame:
+    """What every step of a whole run counted."""
+    whole_run(spark, folder)
+    steps = _RUNS[spark.sparkContext.applicationId, folder][1]
+    rows = [(step, name, n) for step, counts in steps.items() for name, n in counts.items()]
+    return spark.createDataFrame(rows, "step string, counted string, n long")
+
+
+@query
+def initial_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """A second set-up creates nothing and keeps what is there: rows per declared table."""
+    store = whole_run(spark, folder)
+    before = store.snapshot()
+    after = store.init()
+    if before.version != after.version:
+        raise AssertionError("tables that exist were set up again")
+    fresh = Store(spark, scratch(spark))
+    empty = fresh.init()
+    names = sorted({*TABLES, "rejected_records"} - {"rejection_log"})  # the log grows with every load, its view does not
+    counts = [after.table(t).agg(F.count("*").alias("rows")).select(
+        F.lit(t).alias("table_name"), F.lit(empty.table(t).isEmpty()).alias("begins_empty"), "rows") for t in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def pipeline_status(spark: SparkSession, folder: str) -> DataFrame:
+    """How far orders are loaded, what is refused, and how the checks went, as one answer."""
+    snap = whole_run(spark, folder).snapshot()
+    return reports.status_rows(*[snap.table(t) for t in ("watermarks", "rejected_records", "quality_results")])
+
+
+@query
+def declared_constraints(spark: SparkSession, folder: str) -> DataFrame:
+    """Every declared constraint of the tables of a whole run."""
+    return quality.declared_constraints(whole_run(spark, folder).snapshot().table)
+
+
+@query
+def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Negative quantities and days outside the calendar stop a run: what the gate saw."""
+    tables = _lookup(spark, folder)
+    fact = tables("fact_order_items")
+    damaged = fact.withColumns({
+        "quantity": F.when(F.col("order_id").endswith("7"), -F.col("quantity")).otherwise(F.col("quantity")),
+        "date_key": F.when(F.col("order_id").endswith("3"), F.lit(99991231)).otherwise(F.col("date_key")),
+    })
+    results = quality.run_checks(lambda t: damaged if t == "fact_order_items" else tables(t)).collect()
+    try:
+        quality.gate(results)
+        stopped = {}
+    except quality.FailedChecks as failed:
+        stopped = failed.observed
+    rows = [(r["check_name"], r["check_name"] in stopped, r["observed"]) for r in results]
+    return spark.createDataFrame(rows, "check_name string, stops boolean, observed string")
 
 
 @query

@@ -71,3 +71,17 @@ def pipeline_status(
             "check_name", "passed", "observed", "checked_at"
         ),
     }
+
+
+def status_rows(watermarks: DataFrame, rejected_records: DataFrame, quality_results: DataFrame) -> DataFrame:
+    """The whole status as one answer: (part, name, passed, value)."""
+    status = pipeline_status(watermarks, rejected_records, quality_results)
+    no_verdict = F.lit(None).cast("boolean").alias("passed")
+    position = F.date_format("position", "yyyy-MM-dd HH:mm:ss").alias("value")
+    return (
+        status["orders_loaded_up_to"].select(F.lit("orders_loaded_up_to").alias("part"), F.lit("orders").alias("name"), no_verdict, position)
+        .unionByName(status["rejected"].select(
+            F.lit("rejected").alias("part"), F.col("source").alias("name"), no_verdict, F.col("records").cast("string").alias("value")))
+        .unionByName(status["checks"].select(
+            F.lit("checks").alias("part"), F.col("check_name").alias("name"), "passed", F.col("observed").alias("value")))
+    )

@@ -54,6 +54,20 @@ def part_of(column: str, grain: str) -> Column:
     return F.col(column) if grain == "day" else F.trunc(column, grain)
 
 
+def partition(name: str) -> str:
+    """The column that names the folders of a table: day tables use their own date, so
+    that a filter on it prunes; the others a part derived from it."""
+    return TABLES[name][1] if name in DAILY else "part"
+
+
+def spread_by_range(rows: DataFrame, order: list[str], task_bytes: int = 256 << 20) -> DataFrame:
+    """Rows in ranges of `order`, sorted inside, as many ranges as the plan's size asks for."""
+    size = rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, min(100_000, -(-int(str(size)) // task_bytes)))
+    return rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+
+
 @dataclass(frozen=True)
 class Snapshot:
     spark: SparkSession
@@ -100,10 +114,14 @@ class Snapshot:
         if not parts:
             return self.spark.createDataFrame([], schema)
         root = f"{self.base}/data/{name}"
-        paths = [
-            f"{root}/{folder}" + (f"/part={value}" if value else "")
-            for value, folder in sorted(parts.items())
-        ]
+        if name in DAILY and len(set(parts.values())) == 1 and parts == self.parts(name):
+            # The days of one folder are found, and pruned by filters, as partitions.
+            paths = [f"{root}/{folder}" for folder in set(parts.values())]
+        else:
+            paths = [
+                f"{root}/{folder}" + (f"/{partition(name)}={value}" if value else "")
+                for value, folder in sorted(parts.items())
+            ]
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
         return rows.select(*schema.fieldNames())
 
@@ -198,15 +216,15 @@ class Store:
         # of a part for few files, and AQE splits parts that are too big for a task.
         # Clustered tables are split by range over part and keys, so a big part is
         # spread by its keys.
-        rows = rows.withColumn("part", base.part(name))
+        by = partition(name)
+        if by == "part":
+            rows = rows.withColumn("part", base.part(name))
         if change.cluster:
-            order = ["part", *change.cluster]
-            tasks = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            spread = rows.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+            spread = spread_by_range(rows, [by, *change.cluster])
         else:
-            spread = rows.hint("rebalance", "part")
-        spread.write.partitionBy("part").parquet(path)
-        written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith("part=")]
+            spread = rows.hint("rebalance", by)
+        spread.write.partitionBy(by).parquet(path)
+        written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith(f"{by}=")]
         kept = {} if change.parts is None else dict(base.parts(name))
         for value in change.parts or []:
             kept.pop(str(value), None)

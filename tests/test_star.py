@@ -1,6 +1,7 @@
 """Export, measures, stream, files and tables."""
 
 import json
+from dataclasses import replace
 from datetime import date, datetime, timezone
 from decimal import Decimal as D
 
@@ -82,6 +83,29 @@ def test_export_and_reload(shop):
         assert rows(mart(copy), *mart(copy).columns[:3]) == rows(mart(star), *mart(star).columns[:3]), name
 
 
+def pruned(frame, column):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return any(column in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
+
+
+def test_a_filter_on_the_day_reads_its_folder_only(shop, spark):
+    store, folder = shop
+    star = store.snapshot().star()
+    ex.export(star, str(folder / "days"), "run1")
+    loaded = ex.load(store, str(folder / "days"), "run1").table("loaded_fact_order_items")
+    by_day = ex.load_days(spark, str(folder / "days"), "run1", str(folder / "by_day"))
+    for copy in (loaded, by_day):
+        one = copy.filter("order_date = DATE'2025-12-01'")
+        assert pruned(one, "order_date") and {str(r.order_date) for r in one.collect()} == {"2025-12-01"}
+    # One day is sent again; the others keep their files.
+    kept = {f for f in by_day.inputFiles() if "2025-12-01" not in f}
+    again = star.fact_order_items.filter("order_date = DATE'2025-12-01'").withColumn("quantity", F.lit(77))
+    ex.export(replace(star, fact_order_items=again), str(folder / "days"), "run2")
+    after = ex.load_days(spark, str(folder / "days"), "run2", str(folder / "by_day"))
+    assert kept < set(after.inputFiles()) and after.count() == star.fact_order_items.count()
+    assert {r.quantity for r in after.filter("order_date = DATE'2025-12-01'").collect()} == {77}
+
+
 def test_reload_reports_a_gap(shop):
     store, folder = shop
     counts = ex.export(store.snapshot().star(), str(folder / "gap"), "run1")
