@@ -89,20 +89,34 @@ def _record_id(key: str) -> Column:
 
 def _text_of(owner: Column, name: str) -> Column:
     """Trimmed text of a field; anything that is not text counts as empty."""
-    text = F.try_variant_get(owner, f"$.{name}", "string")
-    return F.when(kind(field(owner, name)) == "STRING", v.text_or_empty(text)).otherwise("")
+    value = field(owner, name)
+    return F.when(F.schema_of_variant(value) == "STRING",
+                  v.text_or_empty(F.try_variant_get(value, "$", "string"))).otherwise("")
 
 
-def _raw_item(item: Column, position: Column) -> Column:
-    """What an item says, untyped; read once per item."""
+def _item_fields(item: Column, position: Column) -> Column:
+    """The fields of an item that are read, each found once."""
     return F.struct(
         (position + 1).alias("position"),
-        (kind(item) == "OBJECT").alias("is_object"),
-        _text_of(item, "product_id").alias("product_id"),
-        kind(field(item, "quantity")).alias("quantity_kind"),
-        trimmed(F.try_variant_get(item, "$.quantity", "string")).alias("quantity"),
-        kind(field(item, "unit_price")).alias("price_kind"),
-        trimmed(F.try_variant_get(item, "$.unit_price", "string")).alias("price"),
+        item.alias("item"),
+        *[field(item, name).alias(name) for name in ("product_id", "quantity", "unit_price")],
+    )
+
+
+def _raw_item(item: Column) -> Column:
+    """What an item says, untyped. What holds a quantity or a price is an object, so the
+    shape of the whole item is asked for only where both are missing."""
+    product, quantity, price = item["product_id"], item["quantity"], item["unit_price"]
+    return F.struct(
+        item["position"].alias("position"),
+        F.when(quantity.isNotNull() | price.isNotNull(), F.lit(True)).otherwise(kind(item["item"]) == "OBJECT")
+        .alias("is_object"),
+        F.when(F.schema_of_variant(product) == "STRING", v.text_or_empty(F.try_variant_get(product, "$", "string")))
+        .otherwise("").alias("product_id"),
+        F.schema_of_variant(quantity).alias("quantity_kind"),
+        trimmed(F.try_variant_get(quantity, "$", "string")).alias("quantity"),
+        F.schema_of_variant(price).alias("price_kind"),
+        trimmed(F.try_variant_get(price, "$", "string")).alias("price"),
     )
 
 
@@ -132,7 +146,7 @@ def _typed_item(item: Column) -> Column:
 
     A quantity must be a JSON number without a fraction; text is refused.
     """
-    numeric = item["quantity_kind"].isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+    numeric = item["quantity_kind"].isin("BIGINT", "DOUBLE", "FLOAT") | item["quantity_kind"].startswith("DECIMAL")
     priced = ~item["price_kind"].isin("BOOLEAN", "VOID")
     price = item["plain_price"], item["price_parts"]
     return F.struct(
@@ -158,25 +172,24 @@ def read_orders(docs: DataFrame, event: str = "event") -> DataFrame:
             "channel": F.lower(_text_of(doc, "channel")),
             "_ordered_at": _text_of(doc, "ordered_at"),
             # Each step is an array of its own, so nothing is computed twice.
-            "lines": reduce(F.transform, [_raw_item, _plain_item, _split_item, _typed_item], items),
+            "lines": reduce(F.transform, [_item_fields, _raw_item, _plain_item, _split_item, _typed_item], items),
             "payload": F.to_json(doc),
         }
     ).withColumn("ordered_at", v.moment(F.col("_ordered_at"))).drop("_ordered_at")
 
 
-def _doc_id(payload: Column) -> Column:
-    return F.sha2(payload, 256)
-
-
 def _mentions(docs: DataFrame, event: str) -> DataFrame:
     """Only what the lookups need of a document: its digest and the ids it mentions."""
     doc = F.col(event)
     items = F.try_variant_get(doc, "$.items", "array<variant>")
     return docs.select(
-        _doc_id(F.to_json(doc)).alias("doc_id"),
+        "doc_id",
         _text_of(doc, "customer_id").alias("customer_id"),
-        F.array_distinct(F.transform(
-            items, lambda item: F.when(kind(item) == "OBJECT", _text_of(item, "product_id")))).alias("product_ids"),
+        F.array_distinct(F.transform(F.filter(
+            F.transform(items, _item_fields),
+            lambda item: item["quantity"].isNotNull() | item["unit_price"].isNotNull() | (kind(item["item"]) == "OBJECT")),
+            lambda item: F.when(F.schema_of_variant(item["product_id"]) == "STRING", v.text_or_empty(
+                F.try_variant_get(item["product_id"], "$", "string"))).otherwise(""))).alias("product_ids"),
     )
 
 
@@ -267,17 +280,18 @@ def order_reasons(now) -> Column:
 
 
 def validate_order(
-    docs: DataFrame, customers: DataFrame, products: DataFrame, now, event: str = "event"
+    docs: DataFrame, customers: DataFrame, products: DataFrame, now, event: str = "event", text: str | None = None
 ) -> DataFrame:
     """Adds header columns, `lines`, `payload`, `record_id` and `reasons`.
 
     One bad line refuses the whole order. `now` is an ISO text or a datetime, the
     same for all records of a run. Documents are matched by a digest of their
-    content, so equal copies simply share the answer. Only the ids that documents
+    content (of the column `text` where there is one), so equal copies simply share the answer. Only the ids that documents
     mention are written for the lookups; the orders themselves pass through once.
     """
+    docs = docs.withColumn("doc_id", F.sha2(F.col(text) if text else F.to_json(F.col(event)), 256))
     mentions = cut_lineage(_mentions(docs, event))
-    orders = read_orders(docs, event).withColumn("doc_id", _doc_id(F.col("payload"))).drop(event)
+    orders = read_orders(docs, event).drop(event)
     marked = _mark_unknown(orders, mentions, customers, products).withColumn("_ids", F.col("lines.product_id"))
     return with_columns_once(
         marked, {"reasons": order_reasons(now), "record_id": _record_id("order_id")}

@@ -32,7 +32,7 @@ from tallymart.operators.validate import (
 from tallymart.plans.marts import MARTS
 from tallymart.plans.store import Rewrite, Snapshot, Store
 from tallymart.plans.warehouse import build_warehouse
-from tallymart.session import cut_lineage, pin_session, releases_scratch
+from tallymart.session import cut_lineage, pin_session, releases_scratch, spread
 from tallymart.sources.files import EPOCH, parts_since, read_events, read_reference, read_since
 
 ORDERS_SOURCE = "raw_orders"
@@ -184,10 +184,10 @@ def load_orders(
     # Judging a document costs far more than moving it, and a few large files would
     # keep most cores idle: spread the documents evenly first.
     parts = parts_since(snap.parts("landing"), position)
-    arrived = read_since(snap.table("landing", parts), position).hint("rebalance")
+    arrived = spread(read_since(snap.table("landing", parts), position))
     fresh = parse_events(arrived, "doc").drop("order_id")
     judged = validate_order(
-        fresh, snap.table("customers"), snap.table("products"), _lit(now)
+        fresh, snap.table("customers"), snap.table("products"), _lit(now), text="doc"
     ).drop("doc", "first_seen_at", "ingested_date").withColumns(
         {
             "valid": F.size("reasons") == 0,

@@ -26,7 +26,7 @@ from tallymart.plans.pipeline import Config, ingest, ingest_files, load_orders,
 from tallymart.plans.star import Star, calendar
 from tallymart.plans.store import Store
 from tallymart.schemas import TABLES
-from tallymart.session import checkpoint_folder, cut_lineage, pin_session
+from tallymart.session import checkpoint_folder, cut_lineage, pin_session, spread
 from tallymart.sources import bridge
 from tallymart.sources import bridge_docs as docs
 from tallymart.sources.files import read_reference, read_since
@@ -311,13 +311,14 @@ def watermark_advance(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _judged_orders(spark: SparkSession, folder: str) -> DataFrame:
-    events = shape.parse_events(docs.order_events(spark, folder))
+    events = shape.parse_events(spread(docs.order_events(spark, folder)))
     return validate.validate_order(
-        events.drop("value"),
+        events,
         docs.known_customers(spark, folder),
         docs.known_products(spark, folder),
         docs.NOW,
-    )
+        text="value",
+    ).drop("value")
 
 
 @query

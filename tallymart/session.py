@@ -73,6 +73,14 @@ def cut_lineage(df: DataFrame, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly, for work that costs far more than moving them: at least a
+    task per core, however few bytes there are."""
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, spark.sparkContext.defaultParallelism))
+
+
 _LOCAL = threading.local()
 
 
