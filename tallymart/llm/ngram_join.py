@@ -1,7 +1,7 @@
 """Similarity join on word 5-grams by vertical partitioning.
 
 1. Documents become sets of hashed 5-grams. Blocks learn which of their hashes
-   occur in a second document, and roughly in how many blocks (`blocks.find_shared`).
+   occur in a second document, and roughly in how many blocks (`exchange.find_shared`).
    A document with Jaccard 0.8 to another shares at least four fifths of its set;
    all others are done.
 2. The remaining documents with one set form one node. A node's set is cut along
@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.llm import blocks as B
+from tallymart.llm.exchange import find_shared
 from tallymart.llm.text import table
 from tallymart.session import cut_lineage
 
@@ -109,7 +110,7 @@ def describe(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataF
     """Per document the hash of its text, its set size and node; prefix and fragments for one document of each
     candidate set of a block."""
     blocks, layout = B.write_blocks(docs)
-    shared = B.find_shared(blocks, lambda block: _sets(block, gram)[1], layout.buckets(0.6), LEVELS)
+    shared = find_shared(blocks, lambda block: _sets(block, gram)[1], layout, layout.buckets(0.6), LEVELS)
 
     def run(rows: pa.Table, marks: pa.Table) -> pa.Table:
         if not rows.num_rows:
