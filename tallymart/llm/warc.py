@@ -13,7 +13,7 @@ and merges the slices with a loser tree into globally ordered capture histories.
 Defined cases: null html is an empty payload; null url has an empty key; null
 page_id is written as such and read back as null, and such a record is a response
 only if no id has its payload; rows that repeat the smallest page_id are all
-responses; an empty table gives an empty result; only page_id, url and html are
+responses; ids of any size and sign have a capture time, and the id breaks ties; an empty table gives an empty result; only page_id, url and html are
 read. A task parses one archive at a time; `records` bounds the records in one.
 """
 
@@ -23,8 +23,9 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,9 +35,12 @@ from tallymart.session import checkpoint_folder, cut_lineage
 
 RECORDS = 10_000
 EPOCH = 1_704_067_200  # first capture; a page's id counts seconds from here
+SPAN = 3_000_000_000  # and begins anew after as many, so that every year has four digits
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 ENTRY = ("archive string, at long, page_id long, url_key string, captured_at string, "
          "payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean")
+ENTRY_ARROW = pa.schema([(name, {"long": pa.int64(), "string": pa.string(), "boolean": pa.bool_()}[kind])
+                         for name, kind in (c.split() for c in ENTRY.split(", "))])
 
 
 def base32(hexes: Column) -> Column:
@@ -71,7 +75,7 @@ def _records(pages: DataFrame, min_bytes: int) -> DataFrame:
     rows = rows.join(firsts, F.col("sha") == F.col("same"), "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     name = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
-    when = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.coalesce(F.col("page_id"), F.lit(0))),
+    when = F.date_format(F.timestamp_seconds(F.lit(EPOCH) + F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(SPAN))),
                          "yyyy-MM-dd'T'HH:mm:ss'Z'")
     line = "\r\n"
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{line}Content-Type: text/html; charset=utf-8{line}Content-Length: "),
@@ -121,12 +125,11 @@ def _page(urn: bytes | None) -> int | None:
     return None if name == b"none" else int(name)
 
 
-def _entries(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = [c.split()[0] for c in ENTRY.split(", ")]
-    for frame in files:
-        for path, content in zip(frame["path"], frame["content"], strict=True):
+def _entries(files: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in files:
+        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
             rows = []
-            for at, fields, block in parse(content):
+            for at, fields, block in parse(content.as_py()):
                 http = block.index(b"\r\n\r\n") + 4
                 size = int(dict(_FIELD.findall(block, 0, http - 2))[b"Content-Length"])
                 digest = fields[b"WARC-Payload-Digest"].removeprefix(b"sha1:").decode()
@@ -137,16 +140,16 @@ def _entries(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 rows.append((path, at, _page(fields[b"WARC-Record-ID"]), fields[b"WARC-Target-URI"].decode(),
                              fields[b"WARC-Date"].decode(), size, digest, kind,
                              _page(fields.get(b"WARC-Refers-To")), intact))
-            out = pd.DataFrame(rows, columns=columns)
-            for c in ("page_id", "refers_to"):
-                out[c] = out[c].astype("Int64")
-            yield out
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), ENTRY_ARROW, strict=True)],
+                    schema=ENTRY_ARROW)
 
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One index entry per record of the archives in `folder`."""
     files = spark.read.format("binaryFile").load(folder).select("path", "content")
-    entries = files.mapInPandas(_entries, ENTRY)
+    entries = files.mapInArrow(_entries, ENTRY)
     return entries.withColumn("url_key", url_key(F.col("url_key")))
 
 
@@ -177,19 +180,20 @@ def loser_tree(runs: list[Iterator]) -> Iterator:
         losers[0] = winner
 
 
-def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Merges the run slices of one range; only index entries are held."""
-    held = [b for b in batches if len(b)]
+    held = [b for b in batches if b.num_rows]
     if not held:
         return
-    rows = pd.concat(held, ignore_index=True).sort_values(["archive", "at"], kind="stable", ignore_index=True)
-    ids = rows["page_id"].fillna(-(1 << 62)).astype("int64")
-    keys = list(zip(rows["url_key"].str.encode("utf-8"), rows["captured_at"], ids, rows.index, strict=True))
-    places = rows.groupby("archive", sort=False).indices.values()
-    order = [key[-1] for key in loser_tree([iter([keys[i] for i in p]) for p in places])]
-    out = rows.iloc[order].reset_index(drop=True)
+    rows = pa.Table.from_batches(held).sort_by([("archive", "ascending"), ("at", "ascending")])
+    # A null id is smaller than any other.
+    keys = [(key.encode(), time, page is not None, page or 0, row) for row, (key, time, page) in enumerate(zip(
+        *(rows.column(c).to_pylist() for c in ("url_key", "captured_at", "page_id")), strict=True))]
+    runs = [list(own) for _, own in groupby(range(len(keys)), rows.column("archive").to_pylist().__getitem__)]
+    order = [key[-1] for key in loser_tree([iter([keys[i] for i in run]) for run in runs])]
     first = TaskContext.get().partitionId() << 33
-    yield out.assign(history_order=range(first, first + len(out)))
+    out = rows.take(order).append_column("history_order", pa.array(range(first, first + len(order)), pa.int64()))
+    yield from out.to_batches()
 
 
 def merge_runs(entries: DataFrame) -> DataFrame:
@@ -200,7 +204,7 @@ def merge_runs(entries: DataFrame) -> DataFrame:
     columns = "archive string, at long, page_id long, url_key string, captured_at string, " \
         "payload_bytes long, payload_digest string, record_type string, refers_to long, intact boolean"
     written = cut_lineage(entries)
-    return written.repartitionByRange("url_key", "captured_at", F.col("page_id"), "archive", "at").mapInPandas(
+    return written.repartitionByRange("url_key", "captured_at", F.col("page_id"), "archive", "at").mapInArrow(
         _merge, f"{columns}, history_order long")
 
 
