@@ -80,7 +80,7 @@ def _encoder(path: str):
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 end = END_ID.to_bytes(ids.width, "little")
-                found = [ids.encode(x or "") + end for x in part.column("text").to_pylist()]
+                found = [x + end for x in ids.encode_all([x or "" for x in part.column("text").to_pylist()])]
                 points = np.stack([
                     matrix[np.frombuffer(x, kind) & (rows - 1)].mean(axis=0) for x in found])
                 grid = ((np.tanh(2 * points) + 1) / 2 * ((1 << BITS) - 1)).astype(np.int64)

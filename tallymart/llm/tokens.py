@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import os
 from array import array
-from collections.abc import Callable
 
-GENERATION = 600_000  # pieces a worker remembers before it drops the older half; only speed depends on it
+PIECES = 600_000  # pieces a worker remembers before it begins anew; only speed depends on it
 END_ID = 1
 MARKS = ".,;:!?"
 
@@ -35,27 +34,24 @@ def pieces(text: str) -> list[str]:
     return out
 
 
-class _Known(dict):
-    """Pieces and their ids in two generations: what is still used outlives the older one."""
+def bare(piece: str) -> str:
+    """The piece without the marks at its end: after a letter they are always a piece of
+    their own."""
+    word = piece.rstrip(MARKS)
+    return word if word[-1:].isalpha() else piece
 
-    def __init__(self, encode: Callable[[str], bytes], marks: _Known | None = None):
+
+class _Numbers(dict):
+    """Numbers pieces as they come, from a list that it shares with others."""
+
+    def __init__(self, mark: str, met: list[str]):
         super().__init__()
-        self.encode, self.older, self.marks = encode, {}, self if marks is None else marks
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= GENERATION:
-            self.older = dict(self)
-            self.clear()
-        found = self.older.get(piece)
-        if found is None:
-            # A run of marks after a letter is always a piece of its own.
-            word = piece.rstrip(MARKS)
-            if word != piece and word[-1:].isalpha():
-                found = self[word] + self.marks[piece[len(word):]]
-            else:
-                found = self.encode(piece)
-        self[piece] = found
-        return found
+        self.mark, self.met = mark, met
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self.met)
+        self.met.append(self.mark + word)
+        return number
 
 
 class Ids:
@@ -67,13 +63,11 @@ class Ids:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        # The file's own special tokens are found in texts, as `encode` finds them.
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
-        self.first = _Known(self._encode)
-        self.spaced = _Known(lambda word: self._encode(" " + word), self.first)
-        self.line = self._encode("\n")
+        self._forget()
 
     @classmethod
     def at(cls, path: str) -> Ids:
@@ -81,19 +75,40 @@ class Ids:
             cls._loaded[path] = cls(path)
         return cls._loaded[path]
 
-    def _encode(self, piece: str) -> bytes:
-        return array(self.kind, self.model.encode(piece, add_special_tokens=False).ids).tobytes()
+    def _forget(self) -> None:
+        self.met: list[str] = []
+        self.known: list[bytes] = []  # ids of `met`, as far as learnt
+        self.words: dict[str, bytes] = {}  # ids of pieces without marks at their end
+        self.first, self.spaced = _Numbers("", self.met), _Numbers(" ", self.met)
 
-    def encode(self, text: str) -> bytes:
-        out = []
+    def _numbers(self, text: str) -> list[int]:
+        out: list[int] = []
         for line in text.split("\n"):
             words = line.split(" ")
             # Printable: no white space but spaces. No empty word: every space stands alone
             # between two words, and the line break between two lines stands alone as well.
             if "" in words or not line.isprintable():
-                look = self.first.__getitem__
-                return b"".join(map(look, pieces(text)))
-            out.append(self.line)
-            out.append(self.first[words[0]])
+                return list(map(self.first.__getitem__, pieces(text)))
+            out.append(self.first["\n" + words[0] if out else words[0]])
             out.extend(map(self.spaced.__getitem__, words[1:]))
-        return b"".join(out[1:])
+        return out
+
+    def _learn(self) -> None:
+        """New pieces are encoded together, which is much cheaper than one by one."""
+        new = self.met[len(self.known):]
+        split = [(word := bare(p), p[len(word):]) for p in new]
+        unknown = list({x for pair in split for x in pair if x and x not in self.words})
+        for word, found in zip(unknown, self.model.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
+            self.words[word] = array(self.kind, found.ids).tobytes()
+        self.known += [self.words[w] + self.words[m] if m else self.words.get(w, b"") for w, m in split]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        numbers = [self._numbers(t) for t in texts]
+        self._learn()
+        out = [b"".join(map(self.known.__getitem__, x)) for x in numbers]
+        if len(self.met) > PIECES:
+            self._forget()
+        return out
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]

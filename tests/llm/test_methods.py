@@ -148,7 +148,7 @@ def test_tokens_equal_the_whole_text():
 
 
 def test_known_pieces_forget(monkeypatch):
-    monkeypatch.setattr(tokens, "GENERATION", 3)
+    monkeypatch.setattr(tokens, "PIECES", 3)
     ids = tokens.Ids(tokens.byte_bpe_path())
     text = "one two three four five six seven two one."
     assert ids.encode(text) == array("H", ids.model.encode(text, add_special_tokens=False).ids).tobytes()

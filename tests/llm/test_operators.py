@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import brute
 import corpus_pipeline
@@ -285,7 +286,7 @@ def test_mixture(docs):
 
 def check_packing(rows, expected):
     """expected: (doc_id, text) rows; every copy must come back piece by piece."""
-    model = tokens.Ids.at(tokens.byte_bpe_path()).model
+    model = Tokenizer.from_file(tokens.byte_bpe_path())  # loaded anew, as the file says
     ids = {(i, t): model.encode(t or "", add_special_tokens=False).ids + [1] for i, t in set(expected)}
     want, got = {}, {}
     for key in expected:
@@ -312,6 +313,26 @@ def test_packing(docs):
     check_packing(hilbert_pack.pack(docs).collect(), DOCS)
 
 
+def test_packing_of_special_tokens(spark):
+    """The file's special token is found in texts; marks and white space around it are kept."""
+    rows = [(k, t) for k, t in enumerate((
+        "a<|endoftext|>b", "x <|endoftext|> y.", "<|endoftext|>", "word <|endoftext|>, <|endoftext|>word.\n<|endoftext|> z",
+        "<|endoftext|><|endoftext|> \n", "<|endoftext|", " <|endoftext|>  end", "a\n<|endoftext|>!?"))]
+    found = hilbert_pack.pack(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    check_packing(found, rows)
+    assert tokens.Ids.at(tokens.byte_bpe_path()).encode("a<|endoftext|>b") == np.array([64, 50256, 65], "<u2").tobytes()
+
+
+def test_pieces_are_encoded_as_in_place(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES", 100)
+    signs = [*"ab Z.,!?;:'\n\t 1é日\u00a0", " the", "\n\n", "  ", "'s", "<|endoftext|>", "..."]
+    texts = [t or "" for _, t in DOCS] + ["".join(RNG.choice(signs) for _ in range(RNG.randint(1, 40))) for _ in range(3000)]
+    model, own = Tokenizer.from_file(tokens.byte_bpe_path()), tokens.Ids(tokens.byte_bpe_path())
+    for at in range(0, len(texts), 50):
+        for text, found in zip(texts[at:at + 50], own.encode_all(texts[at:at + 50]), strict=True):
+            assert np.frombuffer(found, "<u2").tolist() == model.encode(text, add_special_tokens=False).ids
+
+
 # 7 -----------------------------------------------------------------------------------------
 
 
@@ -340,6 +361,19 @@ def test_archives(spark, tmp_path):
     assert warc.merge_runs(warc.read_archives(spark, str(tmp_path / "e"))).count() == 0
 
 
+def test_archives_of_large_ids(spark, tmp_path):
+    """Ids that are hashes: every capture has a time, and the histories stay in order."""
+    ids = [10**13, 3 * 10**11, -5, 2**63 - 1, -(2**63), 7, 3 * 10**9 + 7, None]
+    frame = spark.createDataFrame([(i, "http://a.org", f"page {k % 5}") for k, i in enumerate(ids)],
+                                  "page_id long, url string, html string")
+    warc.write_archives(frame.repartition(2), str(tmp_path / "w"))
+    rows = sorted(warc.merge_runs(warc.read_archives(spark, str(tmp_path / "w"))).collect(), key=lambda r: r["history_order"])
+    assert sorted(map(str, ids)) == sorted(str(r["page_id"]) for r in rows) and all(r["intact"] for r in rows)
+    assert all(len(r["captured_at"]) == 20 for r in rows)
+    assert [r["captured_at"] for r in rows] == sorted(r["captured_at"] for r in rows)
+    assert [r["page_id"] for r in rows if r["page_id"] in (7, 3 * 10**9 + 7)] == [7, 3 * 10**9 + 7]
+
+
 # 9 -----------------------------------------------------------------------------------------
 
 
