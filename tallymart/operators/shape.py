@@ -57,6 +57,49 @@ def utf16_length(text: Column) -> Column:
     return F.shiftright(F.octet_length(F.encode(text, "UTF-16BE")), 1)
 
 
+# The types of an event as nearly all have them: every contract field there, none besides.
+# Types of items are merged, so a null among them does not show here.
+_NUMBER = r"(?:BIGINT|DOUBLE|FLOAT|DECIMAL\(\d+,\d+\))"
+_USUAL_ITEM = ", ".join(
+    f"{name}: {_NUMBER if name in ITEM_NUMBER_FIELDS else 'STRING'}" for name in sorted(ITEM_KEYS))
+_USUAL = ", ".join(
+    f"{name}: " + (f"ARRAY<(?:VOID|OBJECT<{_USUAL_ITEM}>)>" if name == "items" else "STRING")
+    for name in sorted(ORDER_KEYS))
+
+
+def usual_order(event: Column) -> Column:
+    """The fields of an event whose fields are all there and of the right types, read in one
+    go; null for any other event."""
+    lines = ", ".join(f"{name}: {'variant' if name in ITEM_NUMBER_FIELDS else 'string'}" for name in ITEM_KEYS)
+    fields = ", ".join(
+        f"{name}: " + (f"array<struct<{lines}>>" if name == "items" else "string") for name in ORDER_KEYS)
+    read = F.when(F.schema_of_variant(event).rlike(rf"\AOBJECT<{_USUAL}>\z"),
+                  F.try_variant_get(event, "$", f"struct<{fields}>"))
+
+    def there(item: Column) -> Column:
+        known = [item[name].isNotNull() for name in ITEM_KEYS]
+        known += [~F.is_variant_null(item[name]) for name in ITEM_NUMBER_FIELDS]
+        return reduce(lambda a, b: a & b, known)
+
+    whole = F.filter(F.array(read), lambda order: order["items"].isNotNull() & F.forall(order["items"], there))
+    return F.try_element_at(whole, F.lit(1))
+
+
+def _in_bounds(text: Column, least: int, most: int) -> Column:
+    """Surely within its lengths: no text has more UTF-16 units than bytes."""
+    short = F.octet_length(text) <= most
+    return short & (trimmed(text) != "") if least else short
+
+
+def _usual_and_short(order: Column) -> Column:
+    """A usual order that breaks no rule of the contract; null for any other."""
+    checks = [_in_bounds(order[name], least, most) for name, least, most in TEXT_FIELDS]
+    checks.append(F.size(order["items"]) <= MAX_ITEMS)
+    checks.append(F.forall(order["items"], lambda item: reduce(
+        lambda a, b: a & b, [_in_bounds(item[name], least, most) for name, least, most in ITEM_TEXT_FIELDS])))
+    return F.when(reduce(lambda a, b: a & b, checks), order)
+
+
 # `concat` gives null for a null message, and null messages are dropped, so each
 # error below is written once and evaluated once.
 
@@ -160,9 +203,14 @@ def _item_errors(fact: Column, position: Column) -> Column:
 
 
 def judge_shape(events: DataFrame) -> DataFrame:
-    """Adds `errors`, all shape errors of the variant `event` in field order.
+    """Adds `errors`, all shape errors of the variant `event` in field order."""
+    return _judge(events).drop("_order")
+
 
-    The types and lengths of an event are read once into a helper column; the
+def _judge(events: DataFrame) -> DataFrame:
+    """Adds `errors` and `_order`, the fields of an event that is found right at once.
+
+    The types and lengths of any other event are read once into a helper column; the
     messages only look at that column.
     """
     event = F.col("event")
@@ -198,11 +246,14 @@ def judge_shape(events: DataFrame) -> DataFrame:
         F.array_compact(F.array(_unknown_keys(fact["extra"], F.lit("order")))),
     )
     errors = (
-        F.when(event.isNull(), F.array(F.lit("Body is not valid JSON")))
+        F.when(F.col("_order").isNotNull(), F.array().cast(NO_ERRORS))
+        .when(event.isNull(), F.array(F.lit("Body is not valid JSON")))
         .when(fact["kind"] == "OBJECT", found)
         .otherwise(F.array(_at(F.lit("order"), _type_error(fact["kind"], "object"))))
     )
-    read_once = with_columns_once(events, {"_facts": facts})
+    usual = with_columns_once(events, {"_order": usual_order(event)})
+    usual = with_columns_once(usual.withColumnRenamed("_order", "_usual"), {"_order": _usual_and_short(F.col("_usual"))})
+    read_once = with_columns_once(usual.drop("_usual"), {"_facts": F.when(F.col("_order").isNull(), facts)})
     return with_columns_once(read_once, {"errors": errors}).drop("_facts")
 
 
@@ -230,20 +281,48 @@ def trimmed_document(event: Column) -> Column:
     )
 
 
+def _usual_document(order: Column) -> Column:
+    """The same text from the fields that were read already."""
+    return F.to_json(
+        F.struct(
+            *[trimmed(order[name]).alias(name) for name, *_ in TEXT_FIELDS],
+            F.transform(
+                order["items"],
+                lambda item: F.struct(
+                    *[trimmed(item[name]).alias(name) for name, *_ in ITEM_TEXT_FIELDS],
+                    *[item[name].alias(name) for name in ITEM_NUMBER_FIELDS],
+                ),
+            ).alias("items"),
+        )
+    )
+
+
 def check_shape(events: DataFrame, position: str = "position") -> tuple[DataFrame, DataFrame]:
     """Splits parsed events into (accepted, refused).
 
     `accepted` keeps `position` and gains `order_id` and the stored `doc`;
     `refused` holds `index` (the position), `errors` and the `text` as it came.
     """
-    judged = judge_shape(events)
-    accepted = judged.filter(F.size("errors") == 0).select(
-        position,
-        trimmed(F.try_variant_get("event", "$.order_id", "string")).alias("order_id"),
-        trimmed_document(F.col("event")).alias("doc"),
+    routed = route_shape(events, position)
+    return (
+        routed.filter("right").select(position, "order_id", "doc"),
+        routed.filter("NOT right").select(F.col(position).alias("index"), "errors", "text"),
     )
+
+
+def route_shape(events: DataFrame, position: str = "position") -> DataFrame:
+    """Accepted and refused events side by side: `right` says which; either kind has its own
+    columns filled and those of the other null."""
+    order, right = F.col("_order"), F.col("right")
+    judged = _judge(events).withColumn("right", F.size("errors") == 0)
     text = F.col("value") if "value" in judged.columns else F.to_json("event")
-    refused = judged.filter(F.size("errors") > 0).select(
-        F.col(position).alias("index"), "errors", text.alias("text")
+    return judged.select(
+        position,
+        right,
+        F.when(right & order.isNotNull(), trimmed(order["order_id"]))
+        .when(right, trimmed(F.try_variant_get("event", "$.order_id", "string"))).alias("order_id"),
+        F.when(right & order.isNotNull(), _usual_document(order))
+        .when(right, trimmed_document(F.col("event"))).alias("doc"),
+        "errors",
+        F.when(~right, text).alias("text"),
     )
-    return accepted, refused
