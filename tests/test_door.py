@@ -1,11 +1,15 @@
 """The door judges every event once, however it is written."""
 
 import json
+from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
 from tallymart.operators import shape
+from tallymart.plans.pipeline import ingest
+from tallymart.plans.store import Store
 
+NOON = datetime(2027, 3, 1, 12, tzinfo=timezone.utc)
 GOOD = {"product_id": " fig ", "quantity": 2, "unit_price": 1.50}
 
 
@@ -43,3 +47,21 @@ def test_usual_orders_keep_their_document_and_others_their_errors(spark):
     assert {r.position: r.doc for r in accepted.collect()} == dict(slow.collect())
     assert {r.order_id for r in accepted.collect()} == {"k1"}
     assert {r["index"] for r in refused.collect()} == set(range(len(USUAL), len(USUAL + LONG + OTHER)))
+
+
+def test_door_reads_each_event_once(spark, tmp_path):
+    """One evaluation per event until the batch is published."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    lines = parsed(spark, USUAL + OTHER).select("position", "value").repartition(2)
+    store = Store(spark, str(tmp_path / "door"))
+    store.init()
+    events = shape.parse_events(lines.select("position", counted.asNondeterministic()("value").alias("value")))
+    ingest(store, events, NOON)
+    assert seen.value == len(USUAL + OTHER)
+    assert store.snapshot().table("refused_events").count() == len(OTHER)
