@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from tallymart.operators.key_filter import build_filters
 from tallymart.operators.keyed import current_rejections
 from tallymart.plans.star import Star
-from tallymart.schemas import BUCKETED, BY_RUN, DAILY, FILTERED, TABLES
+from tallymart.schemas import ARRIVALS, BUCKETED, BY_RUN, DAILY, FILTERED, TABLES
 
 # Tables that follow from another one: name -> (that table, how)
 VIEWS = {"rejected_records": ("rejection_log", current_rejections)}
@@ -217,13 +217,18 @@ class Store:
         # Clustered tables are split by range over part and keys, so a big part is
         # spread by its keys.
         by = partition(name)
-        if by == "part":
-            rows = rows.withColumn("part", base.part(name))
-        if change.cluster:
-            spread = spread_by_range(rows, [by, *change.cluster])
+        parts = change.parts or []
+        if name in ARRIVALS and len(parts) == 1 and parts[0] is not None:
+            # All rows go to one folder: nothing is gathered and nothing sorted.
+            rows.write.parquet(f"{path}/{by}={parts[0]}")
         else:
-            spread = rows.hint("rebalance", by)
-        spread.write.partitionBy(by).parquet(path)
+            if by == "part":
+                rows = rows.withColumn("part", base.part(name))
+            if change.cluster:
+                spread = spread_by_range(rows, [by, *change.cluster])
+            else:
+                spread = rows.hint("rebalance", by)
+            spread.write.partitionBy(by).parquet(path)
         written = [n.split("=", 1)[1] for n in self._names(path) if n.startswith(f"{by}=")]
         kept = {} if change.parts is None else dict(base.parts(name))
         for value in change.parts or []:
@@ -232,7 +237,8 @@ class Store:
         if name not in FILTERED:
             return {**entry, "parts": parts}
         if written:
-            keys = self.spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("part", T.StringType())]))
+            fields = [f for f in rows.schema.fields if f.name != "part"]
+            keys = self.spark.read.schema(T.StructType([*fields, T.StructField("part", T.StringType())]))
             build_filters(keys.parquet(path), FILTERED[name], F.col("part")).write.parquet(
                 f"{self.base}/filters/{name}/{folder}")
         earlier = set(base.tables.get(name, {}).get("filtered", []))

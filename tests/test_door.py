@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallymart.operators import shape
 from tallymart.plans.pipeline import ingest
-from tallymart.plans.store import Store
+from tallymart.plans.store import Rewrite, Store
 
 NOON = datetime(2027, 3, 1, 12, tzinfo=timezone.utc)
 GOOD = {"product_id": " fig ", "quantity": 2, "unit_price": 1.50}
@@ -65,3 +65,14 @@ def test_door_reads_each_event_once(spark, tmp_path):
     ingest(store, events, NOON)
     assert seen.value == len(USUAL + OTHER)
     assert store.snapshot().table("refused_events").count() == len(OTHER)
+
+
+def test_arrivals_of_one_day_are_written_where_they_are(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "door"))
+    rows = spark.range(90).repartition(3).select(
+        F.col("id").cast("string").alias("position"), F.array(F.lit("no")).alias("errors"), F.lit("{").alias("text"),
+        F.lit("2027-03-01 12:00:00").cast("timestamp").alias("refused_at"), F.lit("2027-03-01").cast("date").alias("refused_date"))
+    snap = store.publish(store.init(), {"refused_events": Rewrite(rows, [datetime(2027, 3, 1).date()])})
+    table = snap.table("refused_events")
+    assert list(snap.parts("refused_events")) == ["2027-03-01"] and table.count() == 90
+    assert len(table.inputFiles()) == 3  # nothing was gathered into one
