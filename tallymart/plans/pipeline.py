@@ -145,8 +145,8 @@ def ingest(
     """
     snap = store.snapshot()
     stamp = _lit(ingested_at)
-    # Judged once; accepted and refused events lie in folders of their own.
-    routed = cut_lineage(route_shape(events), by="right")
+    # Judged once. One table for both kinds: folders of their own would need a sort.
+    routed = cut_lineage(route_shape(events))
     kept = routed.filter("NOT right").select(
         F.col("position").cast("string").alias("position"), "errors", "text",
         stamp.alias("refused_at"), F.to_date(stamp).alias("refused_date"))
