@@ -554,7 +554,7 @@ def export_counts(spark: SparkSession, folder: str) -> DataFrame:
 def export_reload(spark: SparkSession, folder: str) -> DataFrame:
     """Written as NDJSON, loaded into the clustered copy, counted, read back."""
     path = scratch(spark)
-    counts = ex.export(_export_star(spark, folder), f"{path}/files", "run1")
+    counts = ex.export(_export_star(spark, folder), f"{path}/files", "run1", "gzip")
     store = Store(spark, f"{path}/loaded")
     store.init()
     after = ex.load(store, f"{path}/files", "run1", counts)
@@ -566,11 +566,11 @@ def loaded_days(spark: SparkSession, folder: str) -> DataFrame:
     """Days of 1995 are exported again with doubled revenue and replace the loaded ones;
     a filter on the day then reads its folders only."""
     path, star = scratch(spark), _export_star(spark, folder)
-    ex.export(star, f"{path}/files", "run1")
+    ex.export(star, f"{path}/files", "run1", "gzip")
     ex.load_days(spark, f"{path}/files", "run1", f"{path}/fact")
     again = star.fact_order_items.filter(F.year("order_date") == 1995).withColumn(
         "revenue", (F.col("revenue") * 2).cast("decimal(12,2)"))
-    ex.export(replace(star, fact_order_items=again), f"{path}/files", "run2")
+    ex.export(replace(star, fact_order_items=again), f"{path}/files", "run2", "gzip")
     loaded = ex.load_days(spark, f"{path}/files", "run2", f"{path}/fact")
     return loaded.filter(F.col("order_date").between(F.lit("1994-12-01").cast("date"), F.lit("1995-01-31").cast("date")))
 
@@ -579,7 +579,7 @@ def loaded_days(spark: SparkSession, folder: str) -> DataFrame:
 def export_reload_monthly(spark: SparkSession, folder: str) -> DataFrame:
     """The monthly mart over a reloaded export equals the mart over the source."""
     path = scratch(spark)
-    counts = ex.export(_export_star(spark, folder), f"{path}/files", "run1")
+    counts = ex.export(_export_star(spark, folder), f"{path}/files", "run1", "gzip")
     store = Store(spark, f"{path}/loaded")
     store.init()
     return marts.monthly_revenue(ex.loaded_star(ex.load(store, f"{path}/files", "run1", counts)))
