@@ -41,6 +41,32 @@ def bare(piece: str) -> str:
     return word if word[-1:].isalpha() else piece
 
 
+def _byte_marks() -> list[str]:
+    """The sign a byte-level BPE writes for each byte: printable ones stand for themselves."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+_SIGNS = _byte_marks()
+LETTERS_END = "\u0250"  # behind Latin letters; from here on the whole tokenizer is asked
+_LATIN = {c: "".join(_SIGNS[b] for b in chr(c).encode()) for c in range(0x80, ord(LETTERS_END))}
+
+
+def signs(word: str) -> str:
+    """A word of Latin letters, with or without the space before it, as the model writes its
+    bytes; '' for any other. The pattern never cuts inside such a word."""
+    space = word[:1] == " "
+    letters = word[1:] if space else word
+    if not letters.isalpha():
+        return ""
+    if not letters.isascii():
+        if max(letters) >= LETTERS_END:
+            return ""
+        letters = letters.translate(_LATIN)
+    return _SIGNS[32] + letters if space else letters
+
+
 class _Numbers(dict):
     """Numbers pieces as they come, from a list that it shares with others."""
 
@@ -67,6 +93,11 @@ class Ids:
         self.model = Tokenizer.from_file(path)
         self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
         self.kind = "H" if self.width == 2 else "I"
+        # Words that the tokenizer neither rewrites nor finds among its added tokens go
+        # straight to its BPE model, which spares its pattern and the rest of an encoding.
+        added = self.model.get_added_tokens_decoder().values()
+        as_is = self.model.normalizer is None and not any(t.content.strip().isalpha() for t in added)
+        self.merge = self.model.model.tokenize if as_is else None
         self._forget()
 
     @classmethod
@@ -78,7 +109,7 @@ class Ids:
     def _forget(self) -> None:
         self.met: list[str] = []
         self.known: list[bytes] = []  # ids of `met`, as far as learnt
-        self.words: dict[str, bytes] = {}  # ids of pieces without marks at their end
+        self.words: dict[str, bytes] = {"": b""}  # ids of pieces without marks at their end
         self.first, self.spaced = _Numbers("", self.met), _Numbers(" ", self.met)
 
     def _numbers(self, text: str) -> list[int]:
@@ -94,13 +125,28 @@ class Ids:
         return out
 
     def _learn(self) -> None:
-        """New pieces are encoded together, which is much cheaper than one by one."""
-        new = self.met[len(self.known):]
-        split = [(word := bare(p), p[len(word):]) for p in new]
-        unknown = list({x for pair in split for x in pair if x and x not in self.words})
-        for word, found in zip(unknown, self.model.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
-            self.words[word] = array(self.kind, found.ids).tobytes()
-        self.known += [self.words[w] + self.words[m] if m else self.words.get(w, b"") for w, m in split]
+        """Words of letters are merged one by one; other new pieces are encoded together."""
+        words, known, merge, kind = self.words, self.known, self.merge, self.kind
+        later, others = [], {}
+        for piece in self.met[len(known):]:
+            word = bare(piece)
+            marks = piece[len(word):]
+            if word not in words:
+                if merge and (text := signs(word)):
+                    words[word] = array(kind, [t.id for t in merge(text)]).tobytes()
+                else:
+                    others[word] = None
+            if marks not in words:
+                others[marks] = None
+            if word in others or marks in others:
+                later.append((len(known), word, marks))
+                known.append(b"")
+            else:
+                known.append(words[word] + words[marks] if marks else words[word])
+        found = self.model.encode_batch_fast(list(others), add_special_tokens=False)
+        words.update((x, array(kind, f.ids).tobytes()) for x, f in zip(others, found, strict=True))
+        for at, word, marks in later:
+            known[at] = words[word] + words[marks]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         numbers = [self._numbers(t) for t in texts]
