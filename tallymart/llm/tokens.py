@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from array import array
 
-PIECES = 600_000  # pieces a worker remembers before it begins anew; only speed depends on it
+PIECES = 1_000_000  # pieces a worker remembers before it begins anew; only speed depends on it
 END_ID = 1
 MARKS = ".,;:!?"
 
@@ -109,7 +109,7 @@ class Ids:
     def _forget(self) -> None:
         self.met: list[str] = []
         self.known: list[bytes] = []  # ids of `met`, as far as learnt
-        self.words: dict[str, bytes] = {"": b""}  # ids of pieces without marks at their end
+        self.marked: dict[str, bytes] = {}  # ids of marks behind a word
         self.first, self.spaced = _Numbers("", self.met), _Numbers(" ", self.met)
 
     def _numbers(self, text: str) -> list[int]:
@@ -126,27 +126,23 @@ class Ids:
 
     def _learn(self) -> None:
         """Words of letters are merged one by one; other new pieces are encoded together."""
-        words, known, merge, kind = self.words, self.known, self.merge, self.kind
-        later, others = [], {}
+        marked, known, merge, kind = self.marked, self.known, self.merge, self.kind
+        later: dict[str, list[int]] = {}
         for piece in self.met[len(known):]:
             word = bare(piece)
-            marks = piece[len(word):]
-            if word not in words:
-                if merge and (text := signs(word)):
-                    words[word] = array(kind, [t.id for t in merge(text)]).tobytes()
-                else:
-                    others[word] = None
-            if marks not in words:
-                others[marks] = None
-            if word in others or marks in others:
-                later.append((len(known), word, marks))
-                known.append(b"")
+            if merge and (text := signs(word)):
+                marks = piece[len(word):]
+                if marks not in marked:
+                    marked[marks] = array(kind, self.model.encode(marks, add_special_tokens=False).ids).tobytes()
+                known.append(array(kind, [t.id for t in merge(text)]).tobytes() + marked[marks])
             else:
-                known.append(words[word] + words[marks] if marks else words[word])
-        found = self.model.encode_batch_fast(list(others), add_special_tokens=False)
-        words.update((x, array(kind, f.ids).tobytes()) for x, f in zip(others, found, strict=True))
-        for at, word, marks in later:
-            known[at] = words[word] + words[marks]
+                later.setdefault(piece, []).append(len(known))
+                known.append(b"")
+        found = self.model.encode_batch_fast(list(later), add_special_tokens=False)
+        for places, encoding in zip(later.values(), found, strict=True):
+            ids = array(kind, encoding.ids).tobytes()
+            for at in places:
+                known[at] = ids
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         numbers = [self._numbers(t) for t in texts]
