@@ -34,7 +34,7 @@ BLOCK_BYTES = 6 << 20
 CHUNK_BYTES = 1 << 17  # so that the arrays of a chunk stay in a cache
 BUCKET_BYTES = 16 << 20
 FILES = 50_000  # bucket files at most; more blocks than that share files
-HOT_BLOCKS = 64  # anchors in more blocks than this are resolved window by window
+HOT_BLOCKS = 2_048  # anchors in more blocks than this are resolved window by window
 NO_ID = np.iinfo(np.int64).max  # a null id is larger than any other
 
 
