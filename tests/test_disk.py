@@ -118,6 +118,8 @@ def test_a_log_of_one_run_is_written_where_it_is(spark, tmp_path):
     load_orders(store, config)
     snap = store.snapshot()
     assert [(r.record_id, r.source) for r in snap.table("rejected_records").collect()] == [("a", "orders")]
+    # Nothing was said twice of a record: its payload does not move to find what stands.
+    assert "Exchange" not in plan(snap.table("rejected_records"))
     assert sorted(snap.parts("rejection_log")) == ["2", "4"]
     assert all(f.endswith(".zstd.parquet") for f in snap.table("rejection_log").inputFiles())
 
